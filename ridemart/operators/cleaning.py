@@ -95,7 +95,8 @@ def clean_summary(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 def rejects(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Rows cleaning drops, each with the first rule it breaks and whether that was a null."""
-    return mark_broken(df, rules).filter(F.col("reason").isNotNull())
+    dropped = df.filter(~F.coalesce(all_hold(rules), F.lit(False)))
+    return mark_broken(dropped, rules)
 
 
 def reject_reasons(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:

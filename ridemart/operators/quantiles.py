@@ -5,11 +5,12 @@ task. Here the value counts stay spread over the cluster:
 
 1. count equal values (combined on the map side, shuffled by value);
 2. sum those counts by *bin*, a fixed monotone function of the value whose width is under
-   one percent of it, which gives a few thousand rows per column at most;
+   one percent of it, which gives a few thousand rows per column;
 3. find the bin each wanted rank falls in, and order only the values of those bins.
 
 Bins depend on the value alone, not on samples of the data, so a recomputed task finds
-the same bins, and the result is exact whatever the distribution.
+the same bins, and the result is exact whatever the distribution. Step 3 reads the value
+counts of step 1 again; both uses are the same shuffle, which Spark runs once.
 """
 
 from __future__ import annotations
@@ -22,24 +23,38 @@ from pyspark.sql import functions as F
 
 from ridemart.functions.numeric import as_col
 
-_BINS_PER_E = 128  # bins per factor e: each bin is about 0.8 % wide
-_ZERO_BIN_GAP = 100_000  # above 128 * 745, the largest |128 * ln(x)| of a double
+# 128 bins per factor e make a bin about 0.8 % wide. The logarithm of a finite double lies
+# within +-745, so 100000 exceeds 128 times it: bins of positive values are above 0, of
+# negative ones below, and zero has bin 0. Infinity and NaN, the largest value, share the
+# last bin (least() turns both into 1000). The outer coalesce makes the column non-nullable: a null
+# test on one side of the join below would stop Spark from sharing the value counts.
+_BIN = """
+    coalesce(CASE WHEN value > 0 THEN 100000 + floor(least(ln(value), 1000D) * 128D)
+                  WHEN value < 0 THEN -100000 - floor(least(ln(-value), 1000D) * 128D) END, 0L)
+"""
 
 
-def _bin(value: Column) -> Column:
-    """Monotone bin of a double: negative values below 0, zero at 0, positive above."""
-    magnitude = F.floor(F.ln(F.abs(value)) * F.lit(float(_BINS_PER_E))) + F.lit(_ZERO_BIN_GAP)
-    return F.coalesce(
-        F.when(value > 0, magnitude).when(value < 0, -magnitude), F.lit(0).cast("long")
-    ).cast("long")
+def _wanted_ranks(probabilities: Mapping[str, float]) -> Column:
+    """Per bin, the (point, fraction, rank) entries whose rank lies in the bin.
+
+    A point between two ranks asks for both; ranks count from 0 over the whole metric.
+    """
+    points = ", ".join(f"named_struct('point', '{name}', 'at', {float(p)!r}D * (all_rows - 1))" for name, p in probabilities.items())
+    return F.expr(
+        f"""
+        filter(
+          flatten(transform(array({points}), p -> transform(
+            array(floor(p.at), ceil(p.at)),
+            rank -> named_struct('point', p.point, 'fraction', p.at - floor(p.at), 'rank', rank)))),
+          w -> w.rank >= before AND w.rank < before + rows)
+        """
+    )
 
 
 def summarise(
     df: DataFrame,
     metrics: Mapping[str, Column | str],
     probabilities: Mapping[str, float],
-    *,
-    metric: str = "metric",
 ) -> DataFrame:
     """Per metric: count, min, max, mean, sample stddev and interpolated quantiles.
 
@@ -48,110 +63,82 @@ def summarise(
     column to a probability. A metric with no values gives one row with count 0.
     """
     wide = df.select(*[as_col(c).cast("double").alias(name) for name, c in metrics.items()])
-    values = wide.unpivot([], list(metrics), "metric", "value").filter(F.col("value").isNotNull())
     counted = (
-        values.withColumn("bin", _bin(F.col("value")))
+        wide.unpivot([], list(metrics), "metric", "value")
+        .filter("value IS NOT NULL")
+        .withColumn("bin", F.expr(_BIN))
         .groupBy("metric", "bin", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
+    so_far = W.unboundedPreceding, W.currentRow
     by_metric = W.partitionBy("metric")
-    n, v = F.col("n"), F.col("value")
     bins = (
         counted.groupBy("metric", "bin")
         .agg(
-            F.sum(n).alias("rows"),
-            F.sum(v * n).alias("s1"),
-            F.sum(v * v * n).alias("s2"),
-            F.min(v).alias("low"),
-            F.max(v).alias("high"),
+            F.expr("sum(n) AS rows"),
+            F.expr("sum(value * n) AS s1"),
+            F.expr("sum(value * value * n) AS s2"),
+            F.expr("min(value) AS low"),
+            F.expr("max(value) AS high"),
         )
         .withColumns(
             {
                 "all_rows": F.sum("rows").over(by_metric),
-                "all_s1": F.sum("s1").over(by_metric),
-                "before": F.sum("rows").over(by_metric.orderBy("bin")) - F.col("rows"),
+                "mean": F.sum("s1").over(by_metric) / F.sum("rows").over(by_metric),
+                "min": F.min("low").over(by_metric),
+                "max": F.max("high").over(by_metric),
+                "before": F.sum("rows").over(by_metric.orderBy("bin").rowsBetween(*so_far)) - F.col("rows"),
             }
         )
+        # Squared distances to the mean: those inside the bin plus those of the bin's own mean.
+        .withColumn(
+            "squares",
+            F.sum(F.expr("s2 - s1 * s1 / rows + rows * power(s1 / rows - mean, 2)")).over(by_metric),
+        )
     )
-
-    mean = F.col("all_s1") / F.col("all_rows")
-    bin_mean = F.col("s1") / F.col("rows")
-    # Squared distances to the overall mean: inside the bin plus of the bin's own mean.
-    squares = (F.col("s2") - F.col("s1") * bin_mean) + F.col("rows") * F.pow(bin_mean - mean, F.lit(2))
-    moments = bins.groupBy("metric").agg(
-        F.max("all_rows").alias("count"),
-        F.min("low").alias("min"),
-        F.max("high").alias("max"),
-        F.max(mean).alias("mean"),
-        F.sqrt(
-            F.greatest(F.try_divide(F.sum(squares), (F.max("all_rows") - 1).cast("double")), F.lit(0.0))
-        ).alias("stddev"),
+    # The lowest value is asked for too, so every metric with rows keeps a bin.
+    asked = {**probabilities, "": 0.0}
+    targets = (
+        bins.withColumn("wanted", _wanted_ranks(asked))
+        .filter("size(wanted) > 0")
+        .select("metric", "bin", "before", "wanted", "all_rows", "mean", "min", "max", "squares")
+    )
+    # At most two rows per metric and probability, whatever the input size.
+    ordered = W.partitionBy("metric", "bin").orderBy("value").rowsBetween(*so_far)
+    hits = (
+        counted.join(F.broadcast(targets), ["metric", "bin"])
+        .withColumn("upto", F.col("before") + F.sum("n").over(ordered))
+        .select("*", F.inline("wanted"))
+        .filter("rank < upto AND rank >= upto - n")
     )
-    # greatest() skips nulls; one row has no sample deviation.
-    moments = moments.withColumn("stddev", F.when(F.col("count") > 1, F.col("stddev")))
-
-    points = _values_at_ranks(counted, bins, probabilities) if probabilities else None
-    described = moments if points is None else moments.join(F.broadcast(points), "metric", "left")
-
-    names = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(m) for m in metrics])).alias("metric"))
-    # Both sides have one row per metric.
-    return names.join(F.broadcast(described), "metric", "left").select(
-        F.col("metric").alias(metric),
-        F.coalesce("count", F.lit(0).cast("long")).alias("count"),
-        "min",
-        "max",
-        "mean",
-        "stddev",
-        *probabilities,
+    found = hits.groupBy("metric").agg(
+        F.expr("max(all_rows) AS count"),
+        F.expr("max(min) AS min"),
+        F.expr("max(max) AS max"),
+        F.expr("max(mean) AS mean"),
+        F.expr("sqrt(greatest(max(squares), 0D) / nullif(max(all_rows) - 1, 0)) AS stddev"),
+        *[F.expr(_between(name)).alias(name) for name in probabilities],
     )
+    return _one_row_each(found, list(metrics))
 
 
-def _values_at_ranks(counted: DataFrame, bins: DataFrame, probabilities: Mapping[str, float]) -> DataFrame:
-    """One row per metric with a column per probability, linearly interpolated."""
-    position = lambda p: F.lit(float(p)) * (F.col("all_rows") - 1)
-    wanted = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("point"),
-                F.lit(side).alias("side"),
-                edge(position(p)).cast("long").alias("rank"),
-                (position(p) - F.floor(position(p))).alias("fraction"),
-            )
-            for name, p in probabilities.items()
-            for side, edge in (("low", F.floor), ("high", F.ceil))
-        ]
-    )
-    inside = F.filter(
-        wanted,
-        lambda w: (w["rank"] >= F.col("before")) & (w["rank"] < F.col("before") + F.col("rows")),
-    )
-    # At most two rows per metric and probability, whatever the input size.
-    targets = (
-        bins.withColumn("wanted", inside)
-        .filter(F.size("wanted") > 0)
-        .select("metric", "bin", "before", "wanted")
+def _between(point: str) -> str:
+    """Linear interpolation between the values at the two ranks around a point."""
+    mine = f"FILTER (WHERE point = '{point}')"
+    low, high = f"min(value) {mine}", f"max(value) {mine}"
+    return f"{low} + ({high} - {low}) * max(fraction) {mine}"
+
+
+def _one_row_each(found: DataFrame, metrics: Sequence[str]) -> DataFrame:
+    """The found rows in the order asked for, and count 0 for a metric without values."""
+    rest = ", ".join(c for c in found.columns if c not in ("metric", "count"))
+    wide = found.agg(
+        *[F.expr(f"max(struct(count, {rest})) FILTER (WHERE metric = '{m}')").alias(m) for m in metrics]
     )
-    ordered = W.partitionBy("metric", "bin").orderBy("value")
-    placed = counted.join(F.broadcast(targets), ["metric", "bin"]).withColumn(
-        "upto", F.col("before") + F.sum("n").over(ordered)
+    return wide.unpivot([], list(metrics), "metric", "found").select(
+        "metric", F.expr("coalesce(found.count, 0L) AS count"), *[F.col(f"found.{c}") for c in rest.split(", ")]
     )
-    hits = placed.select(
-        "metric",
-        "value",
-        "n",
-        "upto",
-        F.inline("wanted"),
-    ).filter((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n")))
-
-    def pick(name: str, side: str, column: str) -> Column:
-        return F.max(F.when((F.col("point") == name) & (F.col("side") == side), F.col(column)))
-
-    def between(name: str) -> Column:
-        low, high = pick(name, "low", "value"), pick(name, "high", "value")
-        return (low + (high - low) * pick(name, "low", "fraction")).alias(name)
-
-    return hits.groupBy("metric").agg(*[between(name) for name in probabilities])
 
 
 def approximate_quantiles(

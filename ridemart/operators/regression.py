@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
@@ -73,10 +73,45 @@ def regressors(
     }
 
 
-def fit(train: DataFrame, regressor) -> PipelineModel:
-    """Indexer, assembler and regressor as one pipeline, so a saved model is complete."""
-    assembler = VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="error")
-    return Pipeline(stages=[band_indexer(), assembler, regressor]).fit(train)
+def feature_stages() -> list:
+    """Band index and feature vector, the stages every candidate starts with."""
+    return [
+        band_indexer(),
+        VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="error"),
+    ]
+
+
+@dataclass(frozen=True)
+class Fitted:
+    """Complete pipelines by name, and how many rows they were fitted on."""
+
+    models: dict[str, PipelineModel]
+    train_rows: int
+
+
+def train_all(train: DataFrame, candidates: Mapping[str, object]) -> Fitted:
+    """Fit every candidate on the same rows.
+
+    Feature stages are fitted once, and the assembled vectors are kept in memory or on disk
+    while the candidates iterate over them. A sample comes out of its ordering in one
+    partition, so rows are spread over the cluster first. Each result is a whole pipeline,
+    features included, ready to be saved.
+    """
+    slots = train.sparkSession.sparkContext.defaultParallelism
+    spread = train.repartition(slots).persist(StorageLevel.MEMORY_AND_DISK)
+    features = Pipeline(stages=feature_stages()).fit(spread)
+    kept = features.transform(spread).select("features", LABEL).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rows = kept.count()
+        spread.unpersist()
+        models = {
+            name: PipelineModel([*features.stages, regressor.fit(kept)])
+            for name, regressor in candidates.items()
+        }
+    finally:
+        spread.unpersist()
+        kept.unpersist()
+    return Fitted(models, rows)
 
 
 def evaluate(predicted: DataFrame, label: str = LABEL, prediction: str = "prediction") -> DataFrame:
@@ -92,39 +127,42 @@ def evaluate(predicted: DataFrame, label: str = LABEL, prediction: str = "predic
     )
 
 
-def train_all(train: DataFrame, candidates: Mapping[str, object]) -> dict[str, PipelineModel]:
-    """Fit every candidate on the same rows, which are kept in memory or on disk meanwhile.
+def leaderboard(fitted: Fitted, test: DataFrame) -> DataFrame:
+    """One row per model in the order given: held-out metrics, and whether it is the best.
 
-    A sample comes out of its ordering in one partition, so rows are spread first.
+    The best has the lowest MAE, the earlier one on ties. The test rows are kept while all
+    models are evaluated; what comes back is one row of numbers per model.
     """
-    slots = train.sparkSession.sparkContext.defaultParallelism
-    kept = train.repartition(slots).persist(StorageLevel.MEMORY_AND_DISK)
+    held_out = test.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return {name: fit(kept, regressor) for name, regressor in candidates.items()}
+        scores = {
+            name: evaluate(model.transform(held_out)).first().asDict()
+            for name, model in fitted.models.items()
+        }
     finally:
-        kept.unpersist()
-
-
-def leaderboard(models: Mapping[str, PipelineModel], test: DataFrame, train_rows: int) -> DataFrame:
-    """One row per model in the order given, with its held-out metrics."""
+        held_out.unpersist()
+    best = min(scores, key=lambda name: scores[name]["mae"])
     rows = [
-        evaluate(model.transform(test)).select(
-            F.lit(i).alias("position"),
-            F.lit(name).alias("model_type"),
-            F.lit(train_rows).cast("long").alias("n_train_rows"),
-            F.col("n_rows").alias("n_test_rows"),
-            "mae",
-            "rmse",
-            "r2",
-        )
-        for i, (name, model) in enumerate(models.items())
+        (i, name, fitted.train_rows, m["n_rows"], m["mae"], m["rmse"], m["r2"], name == best)
+        for i, (name, m) in enumerate(scores.items())
     ]
-    return reduce(DataFrame.unionByName, rows)
+    return test.sparkSession.createDataFrame(
+        rows,
+        "position int, model_type string, n_train_rows long, n_test_rows long, "
+        "mae double, rmse double, r2 double, is_best boolean",
+    )
 
 
 def best_model(board: DataFrame) -> str:
-    """Name of the model with the lowest MAE; the earlier one on ties."""
-    return board.orderBy("mae", "position").first()["model_type"]
+    """Name of the best model of a leaderboard."""
+    return board.filter("is_best").first()["model_type"]
+
+
+def save_best(fitted: Fitted, board: DataFrame, path: str) -> str:
+    """Save the best pipeline and return its name."""
+    best = best_model(board)
+    save_model(fitted.models[best], path)
+    return best
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -9,47 +9,36 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-_HASH_BITS = 60
-
-
 def hash_text(keys: Sequence[str], seed: int) -> Column:
     """Hex digest of seed and key columns; a missing key part hashes as an empty part."""
     parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
 
 
-def _leading_zero_bits(digest: Column) -> Column:
-    head = F.conv(F.substring(digest, 1, _HASH_BITS // 4), 16, 10).cast("long")
-    return F.when(head == 0, F.lit(_HASH_BITS)).otherwise(F.lit(_HASH_BITS) - F.length(F.bin(head)))
-
-
 def sample_rows(df: DataFrame, n: int, keys: Sequence[str], seed: int = 42) -> DataFrame:
     """The min(n, rows) rows with the smallest key hash.
 
     ``orderBy(hash).limit(n)`` alone would let every task hand n rows to the last one. So
-    a first pass counts rows by the number of leading zero bits of the hash (61 groups),
-    which tells how many zeros are rare enough to leave between n and about 2n rows; only
-    those are then ordered.
+    a first pass counts rows by the head of their hash, which is its leading zeros and the
+    digit after them (a few hundred heads at most, whatever the input). It tells which
+    heads hold the n smallest hashes; only rows up to that head, at most about 2n, are then
+    ordered.
     """
-    hashed = df.withColumn("_digest", hash_text(keys, seed)).withColumn(
-        "_zeros", _leading_zero_bits(F.col("_digest"))
-    )
-    levels = hashed.groupBy("_zeros").agg(F.count(F.lit(1)).alias("rows"))
-    counts = levels.agg(F.map_from_entries(F.collect_list(F.struct("_zeros", "rows"))).alias("rows_at"))
-    at_or_above = lambda z: F.aggregate(
-        F.map_entries(F.map_filter("rows_at", lambda k, _: k >= z)),
-        F.lit(0).cast("long"),
-        lambda acc, e: acc + e["value"],
-    )
-    deep_enough = F.filter(F.sequence(F.lit(0), F.lit(_HASH_BITS)), lambda z: at_or_above(z) >= n)
-    cutoff = counts.select(F.coalesce(F.array_max(deep_enough), F.lit(0)).alias("zeros")).scalar()
+    hashed = df.withColumn("_digest", hash_text(keys, seed))
+    head = F.expr("substring(_digest, 1, length(_digest) - length(trim(LEADING '0' FROM _digest)) + 1)")
+    so_far = W.orderBy("head").rowsBetween(W.unboundedPreceding, W.currentRow)
+    heads = hashed.groupBy(head.alias("head")).agg(F.count(F.lit(1)).alias("rows"))
+    enough = heads.withColumn("upto", F.sum("rows").over(so_far)).filter(F.col("upto") >= n)
+    last_head = enough.agg(F.min("head")).scalar()
+    # Every digest that starts with a head sorts before that head followed by "g".
     return (
-        hashed.filter(F.col("_zeros") >= cutoff)
+        hashed.filter(F.col("_digest") < F.concat(F.coalesce(last_head, F.lit("")), F.lit("g")))
         .orderBy("_digest", *keys)
         .limit(n)
-        .drop("_digest", "_zeros")
+        .drop("_digest")
     )
 
 

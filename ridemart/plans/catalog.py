@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,13 +20,14 @@ from ridemart.plans import build
 from ridemart.session import shared_folder
 from ridemart.sources import marts as storage
 from ridemart.sources import trips
-from ridemart.sources.schema import DAILY_SUMMARY
+from ridemart.sources.schema import DAILY_SUMMARY, EVENTS, LINEITEM, ORDERS
 from ridemart.streaming.ingest import ingest_new
 from ridemart.streaming.scoring import score_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 WINDOW = Window("2024-01-01 00:00:00", "2024-04-01 00:00:00", 3)
+TABLES = {"events": EVENTS, "orders": ORDERS, "lineitem": LINEITEM}
 KEY = ["trip_id"]
 MEAN_DIGITS = 6  # unrounded means are compared to this many digits
 
@@ -42,7 +42,7 @@ class Inputs:
         self.spark, self.folder = spark, folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(TABLES[name]).parquet(f"{self.folder}/{name}.parquet")
 
     @property
     def raw(self) -> DataFrame:
@@ -126,7 +126,6 @@ def _mart_csv_roundtrip(q: Inputs) -> DataFrame:
 def _ingest_new(q: Inputs) -> DataFrame:
     """Two runs over the same folder; the second finds nothing new."""
     work = shared_folder(q.spark, "ingest")
-    schema = q.table("events").schema
 
     def once() -> DataFrame:
         return ingest_new(
@@ -134,7 +133,7 @@ def _ingest_new(q: Inputs) -> DataFrame:
             q.folder,
             f"{work}/trips",
             f"{work}/checkpoint",
-            schema,
+            EVENTS,
             trips.trips_from_events,
             file_glob="events.parquet",
         )
@@ -325,32 +324,29 @@ def _training(q: Inputs) -> DataFrame:
     return regression.training_rows(q.keyed_stg, KEY)
 
 
-def _fitted(q: Inputs, *names: str) -> tuple[dict[str, PipelineModel], DataFrame, int]:
-    """Models fitted on the train part, the test part, and the number of train rows."""
+def _fitted(q: Inputs, *names: str) -> tuple[regression.Fitted, DataFrame]:
+    """Models fitted on the train part, and the test part."""
     train, test = sampling.split(_training(q), KEY)
     candidates = regression.regressors(**SMALL)
-    models = regression.train_all(train, {n: candidates[n] for n in names or candidates})
-    return models, test, train.count()
+    return regression.train_all(train, {n: candidates[n] for n in names or candidates}), test
 
 
 def _metrics_of(name: str) -> Callable[[Inputs], DataFrame]:
     def run(q: Inputs) -> DataFrame:
-        models, test, _ = _fitted(q, name)
-        return regression.evaluate(models[name].transform(test))
+        fitted, test = _fitted(q, name)
+        return regression.evaluate(fitted.models[name].transform(test))
 
     return run
 
 
 def _leaderboard(q: Inputs) -> DataFrame:
     """Metrics of the three candidates, of which the best is saved, loaded and scored again."""
-    models, test, train_rows = _fitted(q)
-    board = regression.leaderboard(models, test, train_rows)
-    best = regression.best_model(board)
+    fitted, test = _fitted(q)
+    board = regression.leaderboard(fitted, test)
     path = shared_folder(q.spark, "best_model")
-    regression.save_model(models[best], path)
-    again = regression.evaluate(regression.load_model(path).transform(test))
-    rescored = F.when(F.col("model_type") == best, F.lit(again.first()["mae"]))
-    return board.withColumn("is_best", F.col("model_type") == best).withColumn("reloaded_mae", rescored)
+    regression.save_best(fitted, board, path)
+    again = regression.evaluate(regression.load_model(path).transform(test)).first()["mae"]
+    return board.withColumn("reloaded_mae", F.when(F.col("is_best"), F.lit(again)))
 
 
 def _requests(q: Inputs) -> DataFrame:
@@ -373,16 +369,15 @@ def _requests(q: Inputs) -> DataFrame:
 
 
 def _score_stream(q: Inputs) -> DataFrame:
-    models, _, _ = _fitted(q, "LinearRegression")
-    schema = q.table("events").schema
+    fitted, _ = _fitted(q, "LinearRegression")
     arriving = (
-        q.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(q.folder)
+        q.spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(q.folder)
     )
     streamed = Inputs(q.spark, q.folder)
     streamed.table = lambda name: arriving  # the same plan over a stream of the same file
     work = shared_folder(q.spark, "scored")
     return score_stream(
-        _requests(streamed), models["LinearRegression"], f"{work}/scored", f"{work}/checkpoint"
+        _requests(streamed), fitted.models["LinearRegression"], f"{work}/scored", f"{work}/checkpoint"
     )
 
 
@@ -404,10 +399,12 @@ MODEL = {
     "gbt_metrics": _metrics_of("GradientBoosting"),
     "model_leaderboard": _leaderboard,
     "feature_importance": lambda q: regression.feature_importance(
-        _fitted(q, "GradientBoosting")[0]["GradientBoosting"], q.spark
+        _fitted(q, "GradientBoosting")[0].models["GradientBoosting"], q.spark
     ),
     "score_validation": lambda q: scoring.validate(_requests(q)),
-    "score_batch": lambda q: scoring.score(_requests(q), _fitted(q, "LinearRegression")[0]["LinearRegression"]),
+    "score_batch": lambda q: scoring.score(
+        _requests(q), _fitted(q, "LinearRegression")[0].models["LinearRegression"]
+    ),
     "score_stream": _score_stream,
 }
 

@@ -72,6 +72,39 @@ HOURLY_PATTERNS = _struct(
 )
 
 
+EVENTS = _struct(
+    ("event_id", _LONG),
+    ("ts", _TIME),
+    ("user_id", _LONG),
+    ("event_type", _TEXT),
+    ("value", _DOUBLE),
+    ("props", _TEXT),
+)
+
+ORDERS = _struct(
+    ("o_orderkey", _LONG),
+    ("o_custkey", _LONG),
+    ("o_orderstatus", _TEXT),
+    ("o_totalprice", _DOUBLE),
+    ("o_orderdate", _TIME),
+    ("o_orderpriority", _TEXT),
+)
+
+LINEITEM = _struct(
+    ("l_orderkey", _LONG),
+    ("l_partkey", _LONG),
+    ("l_suppkey", _LONG),
+    ("l_linenumber", _INT),
+    ("l_quantity", _DOUBLE),
+    ("l_extendedprice", _DOUBLE),
+    ("l_discount", _DOUBLE),
+    ("l_tax", _DOUBLE),
+    ("l_returnflag", _TEXT),
+    ("l_linestatus", _TEXT),
+    ("l_shipdate", _TIME),
+)
+
+
 def require_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """Fail while planning, not in a task, when an input column is missing."""
     missing = [n for n in names if n not in df.columns]

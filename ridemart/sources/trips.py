@@ -59,62 +59,40 @@ def describe_schema(df: DataFrame) -> DataFrame:
 def trips_from_events(events: DataFrame) -> DataFrame:
     """Shape the events table like raw trips, bad values included; ``trip_id`` is the key.
 
-    A narrow projection: no shuffle, works on a batch or a streaming DataFrame. Columns of
-    the input named ``source_file`` are carried along.
+    A narrow projection: no shuffle, works on a batch or a streaming DataFrame. A column
+    ``source_file`` of the input is carried along.
     """
-
-    def every(k: int):
-        return F.col("event_id") % k == 0
-
-    def cents(factor: int, modulus: int):
-        return ((F.col("event_id") * factor) % modulus).cast("double")
-
-    no_double = F.lit(None).cast("double")
     carried = [c for c in events.columns if c == SOURCE_FILE]
-
-    shaped = events.filter(F.col("ts").cast("date") != F.lit("2024-01-17").cast("date")).select(
-        F.col("event_id").alias("trip_id"),
-        (1 + F.col("event_id") % 2).cast("long").alias("VendorID"),
-        F.when(every(211), F.expr("ts - INTERVAL '8000' DAY"))
-        .otherwise(F.expr("ts + INTERVAL '1' DAY * (event_id % 3 * 30)"))
-        .alias("tpep_pickup_datetime"),
-        F.when(every(97), 0)
-        .when(every(89), 14400)
-        .otherwise(20 + (F.col("event_id") * 37) % 5400)
-        .alias("ride_s"),
-        F.when(every(41), no_double)
-        .otherwise(((F.col("user_id") + F.col("event_id")) % 8).cast("double"))
-        .alias("passenger_count"),
-        F.when(every(307), 250.0).otherwise(cents(53, 2500) / 100).alias("trip_distance"),
-        F.when(every(41), no_double)
-        .when(every(50), 99.0)
-        .otherwise((1 + F.col("event_id") % 7).cast("double"))
-        .alias("RatecodeID"),
-        (1 + (F.col("user_id") * 7) % 24).cast("long").alias("PULocationID"),
-        (1 + (F.col("event_id") * 11) % 17).cast("long").alias("DOLocationID"),
-        F.when(every(199), 0)
-        .when(F.col("event_id") % 10 < 6, 1)
-        .when(F.col("event_id") % 10 < 8, 2)
-        .otherwise(3 + F.col("event_id") % 4)
-        .cast("long")
-        .alias("payment_type"),
-        (3 + cents(53, 2500) / 40 + F.col("value") / 10).alias("base_fare"),
-        ((F.col("event_id") % 3).cast("double") / 2).alias("extra"),
-        F.lit(0.5).alias("mta_tax"),
-        F.when(every(151), -1.0).otherwise(cents(7, 900) / 100).alias("tip_amount"),
-        F.when(every(13), 6.55).otherwise(0.0).alias("tolls_amount"),
-        F.when(every(41), no_double).otherwise(2.5).alias("congestion_surcharge"),
+    shaped = events.filter("CAST(ts AS DATE) <> DATE'2024-01-17'").selectExpr(
+        "event_id AS trip_id",
+        "1 + event_id % 2 AS VendorID",
+        "IF(event_id % 211 = 0, ts - INTERVAL '8000' DAY, ts + INTERVAL '1' DAY * (event_id % 3 * 30))"
+        " AS tpep_pickup_datetime",
+        "CASE WHEN event_id % 97 = 0 THEN 0 WHEN event_id % 89 = 0 THEN 14400"
+        " ELSE 20 + event_id * 37 % 5400 END AS ride_s",
+        "IF(event_id % 41 = 0, NULL, DOUBLE((user_id + event_id) % 8)) AS passenger_count",
+        "IF(event_id % 307 = 0, 250D, DOUBLE(event_id * 53 % 2500) / 100) AS trip_distance",
+        "CASE WHEN event_id % 41 = 0 THEN NULL WHEN event_id % 50 = 0 THEN 99D"
+        " ELSE DOUBLE(1 + event_id % 7) END AS RatecodeID",
+        "1 + user_id * 7 % 24 AS PULocationID",
+        "1 + event_id * 11 % 17 AS DOLocationID",
+        "CASE WHEN event_id % 199 = 0 THEN 0L WHEN event_id % 10 < 6 THEN 1L WHEN event_id % 10 < 8 THEN 2L"
+        " ELSE 3 + event_id % 4 END AS payment_type",
+        "3 + DOUBLE(event_id * 53 % 2500) / 40 + value / 10 AS base_fare",
+        "DOUBLE(event_id % 3) / 2 AS extra",
+        "0.5D AS mta_tax",
+        "IF(event_id % 151 = 0, -1D, DOUBLE(event_id * 7 % 900) / 100) AS tip_amount",
+        "IF(event_id % 13 = 0, 6.55D, 0D) AS tolls_amount",
+        "IF(event_id % 41 = 0, NULL, 2.5D) AS congestion_surcharge",
         *carried,
     )
-    priced = shaped.withColumns(
-        {
-            "fare_amount": F.when(F.col("trip_id") % 113 == 0, -F.col("base_fare"))
-            .when(F.col("trip_id") % 127 == 0, F.col("base_fare") + 500)
-            .otherwise(F.col("base_fare")),
-            "tpep_dropoff_datetime": F.expr("tpep_pickup_datetime + INTERVAL '1' SECOND * ride_s"),
-        }
-    ).withColumn(
-        "total_amount",
-        F.col("fare_amount") + F.col("extra") + F.col("mta_tax") + F.col("tip_amount") + F.col("tolls_amount"),
-    )
-    return priced.select("trip_id", *columns_of(RAW_TRIPS), *carried)
+    priced = shaped.selectExpr(
+        "*",
+        "CASE WHEN trip_id % 113 = 0 THEN -base_fare WHEN trip_id % 127 = 0 THEN base_fare + 500"
+        " ELSE base_fare END AS fare_amount",
+        "tpep_pickup_datetime + INTERVAL '1' SECOND * ride_s AS tpep_dropoff_datetime",
+    ).selectExpr("*", "fare_amount + extra + mta_tax + tip_amount + tolls_amount AS total_amount")
+    names = ["trip_id", *columns_of(RAW_TRIPS), *carried]
+    # A generated row fixes the derived values once. Without it the optimizer rewrites every
+    # filter above in terms of the formulas, repeating them dozens of times per row.
+    return priced.select(F.inline(F.array(F.struct(*names))))
