@@ -87,7 +87,7 @@ STATEMENTS = {
           SELECT (SELECT count(*) FROM stg) AS staging_trips,
             (SELECT CAST(sum(total_trips) AS BIGINT) FROM daily) AS daily_trips,
             round((SELECT sum(total_amount) FROM stg), 2) AS staging_revenue,
-            round((SELECT sum(total_revenue) FROM daily), 6) AS daily_revenue
+            round((SELECT sum(total_revenue) FROM daily), 2) AS daily_revenue
         )
         """,
     ),

@@ -82,7 +82,7 @@ def reconcile(stg: DataFrame, daily: DataFrame, trip_slack: int = 1, revenue_sla
     of_days = daily.agg(
         F.lit("daily").alias("side"),
         F.sum("total_trips").alias("trips"),
-        F.sum("total_revenue").alias("revenue"),
+        rounded(F.sum("total_revenue")).alias("revenue"),
     )
     side = lambda name, column: F.max(F.when(F.col("side") == name, F.col(column)))
     both = of_trips.unionByName(of_days).agg(

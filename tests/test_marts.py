@@ -137,8 +137,11 @@ def test_totals_agree_at_every_level(inputs):
 
 
 def test_marts_do_not_depend_on_partitioning(inputs):
-    again = marts.daily_summary(inputs.stg.repartition(7))
-    assert sorted(again.collect()) == sorted(inputs.daily.collect())
+    """Counts exactly; doubles to one step of their rounding, as sums of doubles depend on order."""
+    again = sorted(marts.daily_summary(inputs.stg.repartition(7)).collect())
+    for left, right in zip(again, sorted(inputs.daily.collect()), strict=True):
+        for a, b in zip(left, right):
+            assert a == (pytest.approx(b, abs=0.0101) if isinstance(b, float) else b)
 
 
 def test_route_flow_numbers_zones_in_order(spark):

@@ -46,11 +46,14 @@ def test_other_widths_and_extra_columns_are_accepted(spark, raw_folder, tmp_path
 
 def test_filters_and_columns_reach_the_scan(spark, raw_folder):
     tables = build.derive(trips.read_trips(spark, raw_folder), WINDOW)
-    plan = tables.mart_daily_summary._jdf.queryExecution().executedPlan().toString()
-    scan = next(line for line in plan.splitlines() if "FileScan" in line)
-    assert "GreaterThan(fare_amount,0.0)" in plan and "LessThan(trip_distance,200.0)" in plan
+    execution = tables.mart_daily_summary._jdf.queryExecution()
+    plan = spark._jvm.PythonSQLUtils.explainString(execution, "formatted")
+    pushed = next(line for line in plan.splitlines() if "PushedFilters" in line)
+    read = next(line for line in plan.splitlines() if "ReadSchema" in line)
+    assert "GreaterThan(fare_amount,0.0)" in pushed and "LessThan(trip_distance,200.0)" in pushed
+    assert "GreaterThanOrEqual(tpep_pickup_datetime,2024-01-01T00:00)" in pushed
     for unused in ("VendorID", "RatecodeID", "PULocationID", "tolls_amount", "congestion_surcharge", "extra"):
-        assert unused not in scan
+        assert unused not in read
 
 
 def test_cleaning_and_staging_do_not_shuffle(spark, raw_folder):
