@@ -2,6 +2,26 @@
 
 from oracle.base import over
 
+_RAW_TYPES = [
+    ("trip_id", "bigint"),
+    ("VendorID", "bigint"),
+    ("tpep_pickup_datetime", "timestamp_ntz"),
+    ("tpep_dropoff_datetime", "timestamp_ntz"),
+    ("passenger_count", "double"),
+    ("trip_distance", "double"),
+    ("RatecodeID", "double"),
+    ("PULocationID", "bigint"),
+    ("DOLocationID", "bigint"),
+    ("payment_type", "bigint"),
+    ("fare_amount", "double"),
+    ("extra", "double"),
+    ("mta_tax", "double"),
+    ("tip_amount", "double"),
+    ("tolls_amount", "double"),
+    ("total_amount", "double"),
+    ("congestion_surcharge", "double"),
+]
+
 # One row per raw trip and rule, in rule order; ``ok`` is null when the rule is unknown.
 _BROKEN = """
 judged AS (
@@ -52,6 +72,17 @@ STATEMENTS = {
         FROM raw
         """,
     ),
+    "describe_schema": over(
+        "raw",
+        body=f"""
+        SELECT position, column_name, column_type, 'YES' AS nullable, null_count
+        FROM (SELECT unnest([{", ".join(
+            f"{{'position': {i}, 'column_name': '{name}', 'column_type': '{kind}', "
+            f"'null_count': count(*) - count({name})}}"
+            for i, (name, kind) in enumerate(_RAW_TYPES)
+        )}], recursive := true) FROM raw)
+        """,
+    ),
     "add_features": over("features", body="SELECT * FROM features"),
     "clean": over("clean", body="SELECT * FROM clean"),
     "clean_summary": over(

@@ -5,12 +5,16 @@ task. Here the value counts stay spread over the cluster:
 
 1. count equal values (combined on the map side, shuffled by value);
 2. sum those counts by *bin*, a fixed monotone function of the value whose width is under
-   one percent of it, which gives a few thousand rows per column;
-3. find the bin each wanted rank falls in, and order only the values of those bins.
-
-Bins depend on the value alone, not on samples of the data, so a recomputed task finds
-the same bins, and the result is exact whatever the distribution. Step 3 reads the value
-counts of step 1 again; both uses are the same shuffle, which Spark runs once.
+   one percent of it, which gives a few thousand rows per column, and find the bin each
+   wanted rank falls in;
+3. cut each such bin into equal *slices* between its lowest and highest value, which also
+   separates columns whose values all lie close together (dates, ids), and find the slice;
+4. order only the values of those slices.
+
+Bins and slices depend on values and their extremes, not on samples of the data, so a
+recomputed task finds the same ones, and the result is exact whatever the distribution.
+Steps 2 to 4 read the value counts of step 1; all uses are the same shuffle, which Spark
+runs once.
 """
 
 from __future__ import annotations
@@ -34,23 +38,36 @@ _BIN = """
 """
 
 
-def _wanted_ranks(probabilities: Mapping[str, float]) -> Column:
-    """Per bin, the (point, fraction, rank) entries whose rank lies in the bin.
+# Slice of a value within its bin. Values are taken relative to the lowest, so the division
+# is by a positive width; a bin of one value, or with infinities, has a single slice.
+_SLICES = 16_384
+_SLICE = f"""
+    coalesce(CASE WHEN high > low AND high - low < double('infinity')
+                  THEN least(floor((value - low) / (high - low) * {_SLICES}D), {_SLICES - 1}L) END, 0L)
+"""
+
 
-    A point between two ranks asks for both; ranks count from 0 over the whole metric.
+def _ranks_of(probabilities: Mapping[str, float]) -> Column:
+    """Every (point, fraction, rank) asked for; a point between two ranks asks for both.
+
+    Ranks count from 0 over all rows of the metric.
     """
-    points = ", ".join(f"named_struct('point', '{name}', 'at', {float(p)!r}D * (all_rows - 1))" for name, p in probabilities.items())
+    points = ", ".join(
+        f"named_struct('point', '{name}', 'at', {float(p)!r}D * (all_rows - 1))"
+        for name, p in probabilities.items()
+    )
     return F.expr(
         f"""
-        filter(
-          flatten(transform(array({points}), p -> transform(
-            array(floor(p.at), ceil(p.at)),
-            rank -> named_struct('point', p.point, 'fraction', p.at - floor(p.at), 'rank', rank)))),
-          w -> w.rank >= before AND w.rank < before + rows)
+        flatten(transform(array({points}), p -> transform(
+          array(floor(p.at), ceil(p.at)),
+          rank -> named_struct('point', p.point, 'fraction', p.at - floor(p.at), 'rank', rank))))
         """
     )
 
 
+_INSIDE = "filter(wanted, w -> w.rank >= before AND w.rank < before + rows)"
+
+
 def summarise(
     df: DataFrame,
     metrics: Mapping[str, Column | str],
@@ -97,18 +114,31 @@ def summarise(
             F.sum(F.expr("s2 - s1 * s1 / rows + rows * power(s1 / rows - mean, 2)")).over(by_metric),
         )
     )
-    # The lowest value is asked for too, so every metric with rows keeps a bin.
+    # The lowest value is asked for too, so every metric with rows keeps a bin. What remains
+    # is at most two rows per metric and probability, whatever the input size.
     asked = {**probabilities, "": 0.0}
-    targets = (
-        bins.withColumn("wanted", _wanted_ranks(asked))
+    chosen_bins = (
+        bins.withColumn("wanted", _ranks_of(asked))
+        .withColumn("wanted", F.expr(_INSIDE))
+        .filter("size(wanted) > 0")
+        .drop("rows", "s1", "s2")
+    )
+    carried = [c for c in chosen_bins.columns if c not in ("metric", "bin", "before", "wanted")]
+    by_bin = W.partitionBy("metric", "bin").orderBy("slice").rowsBetween(*so_far)
+    chosen_slices = (
+        counted.join(F.broadcast(chosen_bins), ["metric", "bin"])
+        .groupBy("metric", "bin", F.expr(_SLICE).alias("slice"))
+        .agg(F.sum("n").alias("rows"), *[F.any_value(c).alias(c) for c in ("before", "wanted", *carried)])
+        .withColumn("before", F.col("before") + F.sum("rows").over(by_bin) - F.col("rows"))
+        .withColumn("wanted", F.expr(_INSIDE))
         .filter("size(wanted) > 0")
-        .select("metric", "bin", "before", "wanted", "all_rows", "mean", "min", "max", "squares")
+        .drop("rows")
     )
-    # At most two rows per metric and probability, whatever the input size.
-    ordered = W.partitionBy("metric", "bin").orderBy("value").rowsBetween(*so_far)
+    by_slice = W.partitionBy("metric", "bin", "slice").orderBy("value").rowsBetween(*so_far)
     hits = (
-        counted.join(F.broadcast(targets), ["metric", "bin"])
-        .withColumn("upto", F.col("before") + F.sum("n").over(ordered))
+        counted.join(F.broadcast(chosen_slices), ["metric", "bin"])
+        .filter(F.expr(_SLICE) == F.col("slice"))
+        .withColumn("upto", F.col("before") + F.sum("n").over(by_slice))
         .select("*", F.inline("wanted"))
         .filter("rank < upto AND rank >= upto - n")
     )

@@ -104,11 +104,13 @@ def day_type_profile(df: DataFrame, at: TripColumns = _AT) -> DataFrame:
 
 
 def top_pickups(df: DataFrame, k: int = 10, at: TripColumns = _AT) -> DataFrame:
-    return breakdown(df, [at.origin], _means(at, "fare", "distance"), share="pct", top=k)
+    """Zones are a city's few hundred ids; routes are pairs of them and stay distributed."""
+    means = _means(at, "fare", "distance")
+    return breakdown(df, [at.origin], means, share="pct", bounded_keys=True, top=k)
 
 
 def top_dropoffs(df: DataFrame, k: int = 10, at: TripColumns = _AT) -> DataFrame:
-    return breakdown(df, [at.destination], _means(at, "fare"), share="pct", top=k)
+    return breakdown(df, [at.destination], _means(at, "fare"), share="pct", bounded_keys=True, top=k)
 
 
 def top_routes(df: DataFrame, k: int = 10, at: TripColumns = _AT) -> DataFrame:

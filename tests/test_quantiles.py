@@ -43,6 +43,13 @@ def test_one_value_holding_a_third_of_all_rows(spark):
     check(summarise(frame(spark, values).repartition(7), {"x": "x"}, POINTS).first(), values)
 
 
+def test_values_close_together(spark):
+    """Dates as seconds: all in one bin, next to a far-away default that a third of the rows have."""
+    rng = random.Random(5)
+    values = [1.7e9 + rng.randrange(86_400 * 3) for _ in range(2000)] + [0.0] * 1000
+    check(summarise(frame(spark, values), {"x": "x"}, POINTS).first(), values)
+
+
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     values=st.lists(
