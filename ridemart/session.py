@@ -30,11 +30,13 @@ def local_session(cores: int = 8, app: str = "ridemart") -> SparkSession:
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder path under the cluster's ``spark.checkpoint.dir``.
 
-    Only when that setting is absent (tests, the benchmark) a local folder is made and
-    set for the rest of the session.
+    Only in a local session without that setting (tests, the benchmark) a local folder is
+    made and set for the rest of the session.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="ridemart-")
         spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
