@@ -10,18 +10,23 @@ def as_col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+_WHOLE = float(2**52)  # doubles from here on have no fraction
+
+
 def rounded(c: Column | str, digits: int = 2) -> Column:
-    """Round a double by scale, round, unscale.
+    """Round a double half away from zero by scale, round, unscale.
 
     Built-in ``round(x, 2)`` goes through the decimal text of the double and turns 1.005
     into 1.01; scaling first keeps the binary value (1.005 -> 1.0), as SQL engines that
-    round in floating point do.
+    round in floating point do. The fraction is compared to one half, which is exact, and
+    no decimal object is made per row.
     """
-    c = as_col(c).cast("double")
-    if digits == 0:
-        return F.round(c)
     scale = F.lit(float(10**digits))
-    return F.round(c * scale) / scale
+    scaled = as_col(c).cast("double") * scale
+    size = F.abs(scaled)
+    whole = F.floor(size).cast("double")
+    nearest = whole + F.when(size - whole >= 0.5, 1.0).otherwise(0.0)
+    return F.when(size < _WHOLE, F.signum(scaled) * nearest).otherwise(scaled) / scale
 
 
 def mean(c: Column | str, digits: int = 2) -> Column:

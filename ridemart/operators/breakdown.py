@@ -43,7 +43,7 @@ def breakdown(
             whole = F.sum(count).over(W.partitionBy())
         else:
             whole = df.agg(F.count(F.lit(1))).scalar()
-        out = counted.withColumn(share, percent(F.col(count), whole))
+        out = counted.withColumn("_all", whole).withColumn(share, percent(F.col(count), F.col("_all")))
     if top is not None:
         out = out.orderBy(F.desc(count), *[F.asc_nulls_last(k) for k in named]).limit(top)
     shares = [share] if share is not None else []

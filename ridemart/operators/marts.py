@@ -129,7 +129,8 @@ def revenue_by_month(calendar: DataFrame) -> DataFrame:
         total("total_revenue").alias("total_revenue"), F.sum("total_trips").alias("total_trips")
     )
     whole = F.sum("total_revenue").over(W.partitionBy())  # one row per month name
-    return by_month.withColumn("pct", percent(F.col("total_revenue"), whole))
+    shared = by_month.withColumn("_all", whole)
+    return shared.withColumn("pct", percent(F.col("total_revenue"), F.col("_all"))).drop("_all")
 
 
 def weekend_split(calendar: DataFrame) -> DataFrame:

@@ -26,11 +26,14 @@ def test_rounding_keeps_the_binary_value(spark, value, expected):
 
 def test_rounding_matches_duckdb_on_random_values(spark):
     rng = random.Random(7)
-    values = [rng.uniform(-500, 500) for _ in range(3000)] + [k / 1000 for k in range(3000)]
+    values = [rng.uniform(-500, 500) for _ in range(3000)] + [k / 1000 for k in range(-3000, 3000)]
+    values += [k / 200 for k in range(2000)] + [10.0**k for k in range(-20, 300, 7)]
+    values += [0.0049999999999999994, 0.005, 4503599627370497.5, 1e22, -1e22, float("inf"), -float("inf")]
     mine = [r["x"] for r in spark.createDataFrame([(v,) for v in values], "v double").select(rounded("v").alias("x")).collect()]
     con = duckdb.connect()
     theirs = [con.execute("SELECT round(?::DOUBLE, 2)", [v]).fetchone()[0] for v in values]
-    assert sorted(mine) == sorted(theirs)
+    wrong = [(v, a, b) for v, a, b in zip(values, mine, theirs, strict=True) if str(a) != str(b)]
+    assert not wrong
 
 
 def test_rounding_null_and_zero_digits(spark):
