@@ -76,8 +76,7 @@ STATEMENTS = {
         "raw",
         body=f"""
         SELECT position, column_name, column_type, null_count,
-          -- one column of the view is a constant, which Spark knows is never null
-          CASE column_name WHEN 'mta_tax' THEN 'NO' ELSE 'YES' END AS nullable
+          if(null_count > 0, 'YES', 'NO') AS nullable
         FROM (SELECT unnest([{", ".join(
             f"{{'position': {i}, 'column_name': '{name}', 'column_type': '{kind}', "
             f"'null_count': count(*) - count({name})}}"

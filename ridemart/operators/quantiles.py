@@ -162,13 +162,24 @@ def _between(point: str) -> str:
 
 def _one_row_each(found: DataFrame, metrics: Sequence[str]) -> DataFrame:
     """The found rows in the order asked for, and count 0 for a metric without values."""
-    rest = ", ".join(c for c in found.columns if c not in ("metric", "count"))
+    rest = [c for c in found.columns if c not in ("metric", "count")]
     wide = found.agg(
-        *[F.expr(f"max(struct(count, {rest})) FILTER (WHERE metric = '{m}')").alias(m) for m in metrics]
+        *[
+            F.expr(f"max(struct(count, {', '.join(rest)})) FILTER (WHERE metric = '{m}')").alias(f"m{i}")
+            for i, m in enumerate(metrics)
+        ]
     )
-    return wide.unpivot([], list(metrics), "metric", "found").select(
-        "metric", F.expr("coalesce(found.count, 0L) AS count"), *[F.col(f"found.{c}") for c in rest.split(", ")]
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(m).alias("metric"),
+                F.coalesce(F.col(f"m{i}.count"), F.lit(0).cast("long")).alias("count"),
+                *[F.col(f"m{i}.{c}").alias(c) for c in rest],
+            )
+            for i, m in enumerate(metrics)
+        ]
     )
+    return wide.select(F.inline(rows))
 
 
 def approximate_quantiles(

@@ -48,8 +48,8 @@ def volume(df: DataFrame, file_column: str = SOURCE_FILE, at: TripColumns = Trip
 def describe_schema(df: DataFrame) -> DataFrame:
     """Column name, type and nullability of any DataFrame, as rows in column order.
 
-    Parquet declares every column nullable, so next to the declaration stands how many
-    nulls there are, counted for all columns in one scan.
+    Parquet declares every column nullable, so ``nullable`` says whether the data has nulls;
+    they are counted for all columns in one scan.
     """
     counted = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(df.columns)])
     arms = F.array(
@@ -58,7 +58,7 @@ def describe_schema(df: DataFrame) -> DataFrame:
                 F.lit(i).alias("position"),
                 F.lit(f.name).alias("column_name"),
                 F.lit(f.dataType.simpleString()).alias("column_type"),
-                F.lit("YES" if f.nullable else "NO").alias("nullable"),
+                F.when(F.col(f"n{i}") > 0, "YES").otherwise("NO").alias("nullable"),
                 F.col(f"n{i}").alias("null_count"),
             )
             for i, f in enumerate(df.schema.fields)
