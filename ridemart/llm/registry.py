@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from ridemart.llm import sharding, url_filter
+from ridemart.llm import mixing, packing, sharding, simhash, token_files, url_filter, warc
 
 QUERIES = {
     "op1_url_filter": url_filter.query,
+    "op2_source_mix": mixing.query,
+    "op3_simhash": simhash.query,
+    "op6_packing": packing.query,
+    "op7_token_files": token_files.query,
     "op8_sharding": sharding.query,
+    "op9_warc": warc.query,
 }
 
 ORACLES = {
     "op1_url_filter": url_filter.ORACLE,
+    "op9_warc": warc.ORACLE,
 }
