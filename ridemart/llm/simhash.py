@@ -22,7 +22,6 @@ Links are joined into components by alternating star contraction.
 
 from __future__ import annotations
 
-from functools import reduce
 from itertools import combinations
 
 import pyarrow as pa
@@ -104,37 +103,43 @@ def distances(fingerprint: str | Column) -> Column:
     return F.array(*[F.bit_count(column.bitwiseXOR(F.lit(_signed(r)))).cast("tinyint") for r in REFERENCES])
 
 
-def _cells(row: Column) -> Column:
+def pivot_table(fingerprints: DataFrame) -> DataFrame:
+    """Adds ``row``, the distances, and ``groups``, each group's pair counts as one number in base 3."""
+    indices = F.array(*[F.array(*[F.lit(1 + j) for j in group]) for group in GROUPS])
+    rows = fingerprints.withColumn("row", distances("fingerprint"))
+    origin = F.col("row")[0].cast("long")
+    counts = F.transform(
+        indices,
+        lambda group: F.aggregate(
+            group, F.lit(0).cast("long"), lambda n, j: n * 3 + F.shiftright(origin + 2 - F.get(F.col("row"), j), 1)
+        ),
+    )
+    return rows.withColumn("groups", counts)
+
+
+def _cells() -> Column:
     """The cells of a table row, each packed into a long: four groups in base 729, and their choice."""
-    set_bits = [((row[0] + 2 - row[1 + j]) / 2).cast("long") for j in range(PAIRS)]
-    group = [
-        reduce(lambda so_far, j: so_far * 3 + set_bits[j], GROUPS[g], F.lit(0).cast("long")) for g in range(6)
-    ]
-    chosen = list(combinations(range(6), 4))
-    return F.array(
-        *[
-            reduce(lambda so_far, g: so_far * 729 + group[g], choice, F.lit(0).cast("long")) * 16 + F.lit(k)
-            for k, choice in enumerate(chosen)
-        ]
+    chosen = F.array(*[F.array(*[F.lit(g) for g in choice]) for choice in combinations(range(len(GROUPS)), 4)])
+    packed = lambda choice: F.aggregate(
+        choice, F.lit(0).cast("long"), lambda n, g: n * 729 + F.get(F.col("groups"), g)
     )
+    return F.transform(chosen, lambda choice, k: packed(choice) * 16 + k)
 
 
-def links(fingerprints: DataFrame, cell: int = CELL) -> DataFrame:
+def links(table: DataFrame, cell: int = CELL) -> DataFrame:
     """Edges (a, b) whose components are those of all pairs within ``MAX_BITS`` bits.
 
-    ``fingerprints`` has one distinct non-null ``fingerprint`` a row. Pairs of ordinary cells
-    are all there; members of larger cells are linked through a common member.
+    ``table`` is the pivot table of distinct fingerprints. Pairs of ordinary cells are all
+    there; members of larger cells are linked through a common member.
     """
-    entries = fingerprints.withColumn("row", distances("fingerprint")).select(
-        "fingerprint", F.explode(_cells(F.col("row"))).alias("cell")
-    )
+    entries = table.select("fingerprint", F.explode(_cells()).alias("cell"))
     shared = entries.groupBy("cell").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     members = stored(entries.join(shared, "cell"), "simhash_cells")
 
     small = members.filter(F.col("members") <= cell).withColumn("row", distances("fingerprint"))
     left = small.select("cell", F.col("fingerprint").alias("a"), F.col("row").alias("row_a"))
     right = small.select("cell", F.col("fingerprint").alias("b"), F.col("row").alias("row_b"))
-    furthest = F.greatest(*[F.abs(F.col("row_a")[k] - F.col("row_b")[k]) for k in range(len(REFERENCES))])
+    furthest = F.array_max(F.zip_with("row_a", "row_b", lambda x, y: F.abs(x - y)))
     verified = (
         left.join(right, "cell")
         .filter(F.col("a") < F.col("b"))
@@ -202,8 +207,10 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", ce
     gives an empty table. Other columns are not read.
     """
     marked = stored(with_fingerprint(docs.select(F.col(key), F.col(text)), text).select(key, "fingerprint"), "fingerprints")
-    distinct = stored(marked.groupBy("fingerprint").agg(F.min(key).alias("first_key")), "distinct_fingerprints")
-    reached = components(links(distinct.select("fingerprint"), cell))
+    distinct = stored(
+        pivot_table(marked.groupBy("fingerprint").agg(F.min(key).alias("first_key"))), "pivot_table"
+    )
+    reached = components(links(distinct, cell))
     linked = distinct.join(reached, distinct["fingerprint"] == reached["node"])
     smallest = linked.groupBy("component").agg(F.min("first_key").alias("component_id"))
     by_fingerprint = stored(
