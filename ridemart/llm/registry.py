@@ -2,12 +2,24 @@
 
 from __future__ import annotations
 
-from ridemart.llm import mixing, packing, sharding, simhash, token_files, url_filter, warc
+from ridemart.llm import (
+    mixing,
+    packing,
+    quality_rules,
+    sharding,
+    simhash,
+    token_files,
+    url_filter,
+    vector_search,
+    warc,
+)
 
 QUERIES = {
     "op1_url_filter": url_filter.query,
     "op2_source_mix": mixing.query,
     "op3_simhash": simhash.query,
+    "op4_top_k": vector_search.query,
+    "op5_quality_rules": quality_rules.query,
     "op6_packing": packing.query,
     "op7_token_files": token_files.query,
     "op8_sharding": sharding.query,
@@ -16,5 +28,6 @@ QUERIES = {
 
 ORACLES = {
     "op1_url_filter": url_filter.ORACLE,
+    "op4_top_k": vector_search.ORACLE,
     "op9_warc": warc.ORACLE,
 }
