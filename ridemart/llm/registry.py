@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ridemart.llm import (
+    licenses,
     mixing,
     packing,
     quality_rules,
@@ -24,10 +25,12 @@ QUERIES = {
     "op7_token_files": token_files.query,
     "op8_sharding": sharding.query,
     "op9_warc": warc.query,
+    "op10_licenses": licenses.query,
 }
 
 ORACLES = {
     "op1_url_filter": url_filter.ORACLE,
     "op4_top_k": vector_search.ORACLE,
     "op9_warc": warc.ORACLE,
+    "op10_licenses": licenses.ORACLE,
 }
