@@ -16,6 +16,7 @@ from __future__ import annotations
 import heapq
 import pickle
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -174,9 +175,7 @@ def _packed(vectors: DataFrame, rows: int, with_tree: bool, purpose: str) -> Dat
 
 def _searched(pairs: DataFrame, k: int) -> DataFrame:
     """Searches the shard in ``data`` for the block in ``queries``, from the floors in ``floors``."""
-    import pandas as pd
-
-    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         import numpy as np
 
         out = []
@@ -215,7 +214,7 @@ def top_k(
     query itself; repeated rows are candidates like any other, and repeated queries are answered
     separately. A null id can be found (ranked after all ids) but asks nothing. Vectors that are
     null or hold nulls, NaN or infinities take no part; an empty table gives an empty table.
-    Scores beyond a long are held at its bounds. Other columns are not read.
+    Scores beyond a long are held at its bounds, in any order. Other columns are not read.
     """
     rows = stored(
         vectors.select(F.col(key).cast("long").alias("vec_id"), quantised(vector).alias("q"), F.expr(queries).alias("_asks") if isinstance(queries, str) else queries.alias("_asks")),
