@@ -20,6 +20,7 @@ import bisect
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -40,6 +41,8 @@ WITH_CHECKSUMS = 0x80
 
 #: Words and pieces a worker remembers before it starts afresh (about 100 MB).
 REMEMBERED = 600_000
+#: Words encoded in one call, and characters of texts whose new words are learnt together.
+TOGETHER, CHARACTERS = 1_000, 1 << 20
 
 
 class CorruptFile(ValueError):
@@ -48,16 +51,16 @@ class CorruptFile(ValueError):
 
 # ---- tokens ----------------------------------------------------------------------------
 
-_TAIL = re.compile(r"^(.*[A-Za-z0-9])([.,!?;:*#$%&]+)$", re.S)
+#: Marks that are split from the end of a word; a letter or digit before them ends a piece anyway.
+MARKS = ".,!?;:*#$%&"
 
 
 class Encoder:
     """Ids of whole texts by a tokenizer that drops white space, with words remembered.
 
     For a tokenizer whose pre-tokenizer never joins characters across a space, the ids of a text
-    are those of its words one after another. So each distinct word is encoded once a worker; a
-    word of ASCII letters with trailing marks, once for its letters in lower case and once for
-    its marks. ``safe`` says whether the tokenizer's file describes such a tokenizer; if not,
+    are those of its words one after another. So each distinct word is encoded once a worker,
+    without the marks at its end, and an ASCII word in lower case if the tokenizer lowers. ``safe`` says whether the tokenizer's file describes such a tokenizer; if not,
     whole texts are encoded.
     """
 
@@ -77,49 +80,77 @@ class Encoder:
         self.safe = "[^\\\\s\\\\p{L}\\\\p{N}]+" in steps[0] and "'invert': True" in steps[0] and "add_prefix_space': False" in steps[0]
         self.marks = {t["content"] for t in made.get("added_tokens", [])}
         self.safe = self.safe and not any(re.search(r"\s", t) for t in self.marks)
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.pieces: dict[str, tuple[int, ...]] = {}
+        self.words: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
         self._forget()
 
     def _forget(self) -> None:
         self.words.clear()
         self.pieces.clear()
-        self.words[""] = ()
+        self.words[""] = b""
         self.characters = 0
 
-    def _encoded(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _split(self, word: str) -> tuple[str, ...]:
-        if not word.isascii() or "<" in word or not (found := _TAIL.match(word)):
-            return (word,)
-        return found[1], found[2]
-
-    def _learn(self, unknown: Iterable[str]) -> None:
-        parts = {}
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in encoded]
+
+    def _letters(self, words: list[str]) -> list[bytes]:
+        """Words of letters only, each of which the pre-tokenizer leaves whole, encoded as one text."""
+        found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+        ids, owners = found.ids, found.word_ids
+        starts = [k for k, owner in enumerate(owners) if k == 0 or owner != owners[k - 1]]
+        if len(starts) != len(words):  # a word that is more than one piece
+            return self._whole(words)
+        packed, ends = array("I", ids).tobytes(), [*starts[1:], len(ids)]
+        return [packed[4 * a : 4 * b] for a, b in zip(starts, ends, strict=True)]
+
+    def _learn(self, unknown: set[str]) -> None:
+        pieces, new, parts = self.pieces, set(), []
         for word in unknown:
-            split = self._split(word)
-            if self.lowers and word.isascii() and "<" not in word:
-                split = tuple(p.lower() for p in split)
-            parts[word] = split
-        new = list({p for split in parts.values() for p in split if p not in self.pieces})
-        self.pieces.update(zip(new, map(tuple, self._encoded(new)), strict=True))
-        for word, split in parts.items():
-            self.words[word] = self.pieces[split[0]] if len(split) == 1 else self.pieces[split[0]] + self.pieces[split[1]]
-            self.characters += len(word)
-
-    def encode(self, text: str) -> list[int]:
+            head = word
+            if "<" not in word:  # which may begin a special token
+                bare = word.rstrip(MARKS)
+                if bare and bare[-1].isalnum():
+                    head = bare
+                if self.lowers and head.isascii():
+                    head = head.lower()
+            tail = word[len(head) :]
+            parts.append((word, head, tail))
+            if head not in pieces:
+                new.add(head)
+            if tail and tail not in pieces:
+                new.add(tail)
+        letters = [p for p in new if p.isalpha()]
+        for at in range(0, len(letters), TOGETHER):
+            some = letters[at : at + TOGETHER]
+            pieces.update(zip(some, self._letters(some), strict=True))
+        others = [p for p in new if not p.isalpha()]
+        pieces.update(zip(others, self._whole(others), strict=True))
+        self.words.update((word, pieces[head] + pieces[tail] if tail else pieces[head]) for word, head, tail in parts)
+        self.characters += sum(map(len, unknown))
+
+    def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """The ids of each text as native unsigned 32-bit integers; new words are learnt together."""
+        held, size = [], 0
+        for text in texts:
+            held.append(text)
+            size += len(text)
+            if size >= CHARACTERS:
+                yield from self._some(held)
+                held, size = [], 0
+        yield from self._some(held)
+
+    def _some(self, texts: list[str]) -> list[bytes]:
         if not self.safe:
-            return self._encoded([text])[0]
-        words = text.replace("\n", " ").split(" ")
+            return self._whole(texts)
+        split = [text.replace("\n", " ").split(" ") for text in texts]
         known = self.words
-        try:
-            return [i for w in words for i in known[w]]
-        except KeyError:
-            if len(known) > REMEMBERED or self.characters > 32 * REMEMBERED:
-                self._forget()
-            self._learn({w for w in words if w not in known})
-            return [i for w in words for i in known[w]]
+        unknown = set().union(*split).difference(known)
+        if unknown and (len(known) > REMEMBERED or self.characters > 32 * REMEMBERED):
+            self._forget()
+            unknown = set().union(*split).difference(known)
+        self._learn(unknown)
+        return [b"".join(map(known.__getitem__, words)) for words in split]
 
 
 @lru_cache(maxsize=2)
@@ -147,13 +178,13 @@ class Writer:
 
     def add(self, doc_id: int | None, ids) -> None:
         self.docs.append((doc_id or 0, doc_id is None, self.ids))
-        array = self.np.asarray(ids, "<u4")
-        self.ids += len(array)
-        while len(array):
+        rest = self.np.asarray(ids, "<u4")
+        self.ids += len(rest)
+        while len(rest):
             room = self.frame_ids - self.held_ids
-            self.held.append(array[:room])
-            self.held_ids += len(array[:room])
-            array = array[room:]
+            self.held.append(rest[:room])
+            self.held_ids += len(rest[:room])
+            rest = rest[room:]
             if self.held_ids == self.frame_ids:
                 self._flush()
 
@@ -289,6 +320,7 @@ def write(
     )
 
     def files(batches):
+        import numpy as np
         from pyspark import TaskContext
 
         store, root = filesystem(folder)
@@ -301,14 +333,12 @@ def write(
             closed.append({"path": path, "part": part, "place": len(closed), "docs": len(out.docs), "ids": out.ids})
 
         for batch in batches:
-            keys, texts = batch.column(0), batch.column(1)
-            for k in range(batch.num_rows):
+            encoded = encode(text.as_py() for text in batch.column(1))
+            for key, ids in zip(batch.column(0).to_pylist(), encoded, strict=True):
                 if out is None:
                     path = new_file(root, ".ids.zst")
                     out = Writer(store.open_output_stream(path, compression=None))
-                ids = encode(texts[k].as_py())
-                ids.append(END_ID)
-                out.add(keys[k].as_py(), ids)
+                out.add(key, np.append(np.frombuffer(ids, np.uint32), np.uint32(END_ID)))
                 if out.ids >= file_ids:
                     close()
                     out = None
