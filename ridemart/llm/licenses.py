@@ -99,11 +99,19 @@ def template_table(spark: SparkSession, templates: Sequence[tuple[str, str]]) ->
 
 
 def windows(marked: DataFrame, step: int) -> DataFrame:
-    """Windows of three steps from every step: start (a word's number) and shingles."""
-    starts = F.sequence(F.lit(0), F.size("shingles") - 1, F.lit(step))
-    return marked.select("doc_id", "shingles", F.explode(starts).alias("start")).select(
-        "doc_id", "start", F.slice("shingles", F.col("start") + 1, F.lit(3 * step)).alias("window")
+    """Windows of three steps that hold a hit: start (a word's number) and shingles.
+
+    Windows start at multiples of the step, so a hit lies in three of them at most. Only these
+    are cut out, and the whole text's shingles stay behind.
+    """
+    around = F.transform(
+        "hits", lambda p: F.sequence(F.greatest(F.floor(p / step) - 2, F.lit(0)).cast("int"), F.floor(p / step).cast("int"))
     )
+    cut = F.transform(
+        F.array_distinct(F.flatten(around)),
+        lambda i: F.struct((i * step).alias("start"), F.slice("shingles", i * step + 1, F.lit(3 * step)).alias("window")),
+    )
+    return marked.select("doc_id", F.inline(cut))
 
 
 def scan(
@@ -148,16 +156,19 @@ def _scan(docs: DataFrame, table: DataFrame, contained: float, bands: int, key:
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("parts")))).alias("parts"), F.sort_array(F.collect_set("step")).alias("steps")
     ).first()  # bounded by PASS_WORDS
     anything = F.lit(summary["parts"] or []).cast("array<bigint>")
-    marked = (
-        docs.select(F.col(key).alias("doc_id"), words_of(text).alias("words"))
-        .select("doc_id", shingles_of("words").alias("shingles"))
-        .filter(F.arrays_overlap("shingles", anything))
-    )
+    # A generated row holds words and shingles once; otherwise the filter below would be rewritten
+    # in terms of the text and split it again for every use.
+    words = docs.select(F.col(key).alias("doc_id"), F.explode(F.array(words_of(text))).alias("words"))
+    hashed = words.select("doc_id", F.explode(F.array(shingles_of("words"))).alias("shingles"))
+    held = hashed.withColumn("found", F.array_intersect("shingles", anything)).filter("size(found) > 0")
     # Few texts hold a shingle of a template; written once, they serve every window length.
-    marked = stored(marked, "license_candidates")
+    candidates = stored(held, "license_candidates")
+    hit = lambda x, i: F.when(F.array_contains("found", x), i)
+    hits = F.filter(F.transform("shingles", hit), lambda i: i.isNotNull())
+    marked = candidates.select("doc_id", "shingles", hits.alias("hits"))
     out = None
     for step in summary["steps"] or [1]:
-        held = windows(marked, step).filter(F.arrays_overlap("window", anything)).withColumn("mine", signature_of(F.col("window"), bands))
+        held = windows(marked, step).withColumn("mine", signature_of(F.col("window"), bands))
         banded = held.select("*", F.posexplode("mine").alias("band", "least"))
         bounded = F.broadcast(  # at most bands rows for each template of the pass
             known.filter(F.col("step") == step).select("license", "parts", "signature", F.posexplode("signature").alias("band", "least"))
