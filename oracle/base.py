@@ -46,7 +46,6 @@ FROM (
            ELSE CAST(0 AS DOUBLE) END AS tolls_amount,
       CASE WHEN event_id % 41 = 0 THEN NULL ELSE CAST(5 AS DOUBLE) / 2 END AS congestion_surcharge
     FROM events
-    WHERE CAST(ts AS DATE) <> DATE '2024-01-17'
   ) a
 ) b
 """
@@ -74,13 +73,13 @@ FROM (
 
 CLEAN = """
 SELECT * FROM features
-WHERE NOT (fare_amount <= 0 OR fare_amount >= 500)
-  AND NOT (trip_distance <= 0 OR trip_distance >= 200)
-  AND passenger_count BETWEEN 1 AND 6
-  AND NOT (total_amount <= 0)
+WHERE fare_amount > 0 AND fare_amount < 500
+  AND trip_distance > 0 AND trip_distance < 200
+  AND passenger_count >= 1 AND passenger_count <= 6
+  AND total_amount > 0
   AND tpep_pickup_datetime >= TIMESTAMP '2024-01-01 00:00:00'
   AND tpep_pickup_datetime < TIMESTAMP '2024-04-01 00:00:00'
-  AND tpep_pickup_datetime < tpep_dropoff_datetime
+  AND tpep_dropoff_datetime > tpep_pickup_datetime
   AND trip_duration_min <= 180
 """
 
@@ -105,8 +104,8 @@ SELECT
   round(avg(trip_duration_min), 2) AS avg_duration_min,
   round(sum(total_amount), 2) AS total_revenue,
   round(avg(tip_pct), 2) AS avg_tip_pct,
-  CAST(sum(CASE WHEN time_of_day = 'morning_rush' THEN 1 ELSE 0 END) AS BIGINT) AS morning_rush_trips,
-  CAST(sum(CASE WHEN time_of_day = 'evening_rush' THEN 1 ELSE 0 END) AS BIGINT) AS evening_rush_trips
+  count(*) FILTER (WHERE time_of_day = 'morning_rush') AS morning_rush_trips,
+  count(*) FILTER (WHERE time_of_day = 'evening_rush') AS evening_rush_trips
 FROM stg
 GROUP BY ALL
 """

@@ -32,6 +32,8 @@ def _rolling(value: str, day: str, before: int, after: int, partition: str = "")
 STATEMENTS = {
     "mart_daily": over("daily", body="SELECT * FROM daily"),
     "mart_hourly": over("hourly", body="SELECT * FROM hourly"),
+    "daily_stored": over("daily", body="SELECT * FROM daily"),
+    "hourly_stored": over("hourly", body="SELECT * FROM hourly"),
     "daily_fallback": over(
         "daily", body="SELECT trip_date, total_trips, avg_fare, total_revenue, avg_tip_pct FROM daily"
     ),

@@ -36,7 +36,7 @@ def _sample(table: str, n: int, condition: str = "true") -> str:
     return f"SELECT * FROM {table} WHERE {condition} ORDER BY md5('42|' || trip_id), trip_id LIMIT {n}"
 
 
-def _correlations(n: int) -> str:
+def _correlations(n: int | None) -> str:
     valid = "fare_amount > 0 AND trip_distance > 0 AND tpep_dropoff_datetime > tpep_pickup_datetime"
     return f"""
     SELECT {_corr("f", "t", "fare_vs_tip")}, {_corr("f", "d", "fare_vs_distance")},
@@ -46,7 +46,7 @@ def _correlations(n: int) -> str:
     FROM (
       SELECT fare_amount AS f, tip_amount AS t, trip_distance AS d, passenger_count AS p,
         hour(tpep_pickup_datetime) AS h, {_MINUTES} AS m
-      FROM ({_sample("raw", n, valid)})
+      FROM ({_sample("raw", n, valid) if n else f"SELECT * FROM raw WHERE {valid}"})
     )
     """
 
@@ -83,7 +83,7 @@ STATEMENTS = {
     ),
     "numeric_summary": over("raw", body=" UNION ALL ".join(_TRIP_METRICS)),
     "lineitem_numeric_summary": " UNION ALL ".join(_LINEITEM_METRICS).strip(),
-    "correlations": over("raw", body=_correlations(200_000)),
+    "correlations": over("raw", body=_correlations(None)),
     "correlations_sampled": over("raw", body=_correlations(2_000)),
     "sample_rows": over("raw", body=_sample("raw", 1_000)),
     "scatter_sample": over(

@@ -111,5 +111,6 @@ STATEMENTS = {
     "write_read_clean": over("clean", body="SELECT * FROM clean"),
     "stg_trips": over("stg", body="SELECT * FROM stg"),
     "mart_csv_roundtrip": over("daily", body="SELECT * FROM daily"),
+    "pipeline_run": over("daily", body="SELECT * FROM daily"),
     "ingest_new": over("raw", body="SELECT * FROM raw"),
 }

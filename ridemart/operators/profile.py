@@ -133,11 +133,11 @@ CORRELATION_PAIRS = {
 def correlations(
     df: DataFrame,
     keys: Sequence[str],
-    n: int | None = 200_000,
+    n: int | None = None,
     seed: int = 42,
     at: TripColumns = TripColumns(),
 ) -> DataFrame:
-    """Pearson correlations on a sample of valid rows; ``n=None`` uses all of them."""
+    """Pearson correlations of all valid rows in one pass; with ``n``, of a sample of n."""
     valid = df.filter(
         (F.col(at.fare) > 0) & (F.col(at.distance) > 0) & (F.col(at.dropoff) > F.col(at.pickup))
     )

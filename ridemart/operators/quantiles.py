@@ -1,20 +1,19 @@
 """Exact summary statistics of many numeric columns in one scan, safe for any column.
 
 Built-in exact ``percentile`` sends every task's value counts of a column to a single
-task. Here the value counts stay spread over the cluster:
+task. Here no values move until the few that matter are known:
 
-1. count equal values (combined on the map side, shuffled by value);
-2. sum those counts by *bin*, a fixed monotone function of the value whose width is under
-   one percent of it, which gives a few thousand rows per column, and find the bin each
-   wanted rank falls in;
-3. cut each such bin into equal *slices* between its lowest and highest value, which also
-   separates columns whose values all lie close together (dates, ids), and find the slice;
-4. order only the values of those slices.
+1. count rows by *bin*, a fixed monotone function of the value whose width is under one
+   percent of it (a few thousand rows per task, combined before they are shuffled), and find
+   the bin each wanted rank falls in;
+2. read the column again and count those bins' rows by equal *slices* between the bin's lowest
+   and highest value, then the chosen slices' rows by slices of their own, which separates
+   columns whose values lie close together (dates, ids) or in clumps;
+3. read it once more and order only the values of the slices found last.
 
 Bins and slices depend on values and their extremes, not on samples of the data, so a
 recomputed task finds the same ones, and the result is exact whatever the distribution.
-Steps 2 to 4 read the value counts of step 1; all uses are the same shuffle, which Spark
-runs once.
+Count, extremes, mean and deviation are built-in aggregates of one pass.
 """
 
 from __future__ import annotations
@@ -30,8 +29,7 @@ from ridemart.functions.numeric import as_col
 # 128 bins per factor e make a bin about 0.8 % wide. The logarithm of a finite double lies
 # within +-745, so 100000 exceeds 128 times it: bins of positive values are above 0, of
 # negative ones below, and zero has bin 0. Infinity and NaN, the largest value, share the
-# last bin (least() turns both into 1000). The outer coalesce makes the column non-nullable: a null
-# test on one side of the join below would stop Spark from sharing the value counts.
+# last bin (least() turns both into 1000).
 _BIN = """
     coalesce(CASE WHEN value > 0 THEN 100000 + floor(least(ln(value), 1000D) * 128D)
                   WHEN value < 0 THEN -100000 - floor(least(ln(-value), 1000D) * 128D) END, 0L)
@@ -40,7 +38,7 @@ _BIN = """
 
 # Slice of a value within its bin. Values are taken relative to the lowest, so the division
 # is by a positive width; a bin of one value, or with infinities, has a single slice.
-_SLICES = 16_384
+_SLICES, _LEVELS = 16_384, 2
 _SLICE = f"""
     coalesce(CASE WHEN high > low AND high - low < double('infinity')
                   THEN least(floor((value - low) / (high - low) * {_SLICES}D), {_SLICES - 1}L) END, 0L)
@@ -80,77 +78,66 @@ def summarise(
     column to a probability. A metric with no values gives one row with count 0.
     """
     wide = df.select(*[as_col(c).cast("double").alias(name) for name, c in metrics.items()])
-    counted = (
-        wide.unpivot([], list(metrics), "metric", "value")
-        .filter("value IS NOT NULL")
-        .withColumn("bin", F.expr(_BIN))
-        .groupBy("metric", "bin", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    long = wide.unpivot([], list(metrics), "metric", "value").filter("value IS NOT NULL").withColumn("bin", F.expr(_BIN))
 
     so_far = W.unboundedPreceding, W.currentRow
     by_metric = W.partitionBy("metric")
     bins = (
-        counted.groupBy("metric", "bin")
-        .agg(
-            F.expr("sum(n) AS rows"),
-            F.expr("sum(value * n) AS s1"),
-            F.expr("sum(value * value * n) AS s2"),
-            F.expr("min(value) AS low"),
-            F.expr("max(value) AS high"),
-        )
+        long.groupBy("metric", "bin")
+        .agg(F.count(F.lit(1)).alias("rows"), F.min("value").alias("low"), F.max("value").alias("high"))
         .withColumns(
             {
                 "all_rows": F.sum("rows").over(by_metric),
-                "mean": F.sum("s1").over(by_metric) / F.sum("rows").over(by_metric),
-                "min": F.min("low").over(by_metric),
-                "max": F.max("high").over(by_metric),
                 "before": F.sum("rows").over(by_metric.orderBy("bin").rowsBetween(*so_far)) - F.col("rows"),
             }
         )
-        # Squared distances to the mean: those inside the bin plus those of the bin's own mean.
-        .withColumn(
-            "squares",
-            F.sum(F.expr("s2 - s1 * s1 / rows + rows * power(s1 / rows - mean, 2)")).over(by_metric),
-        )
-    )
-    # The lowest value is asked for too, so every metric with rows keeps a bin. What remains
-    # is at most two rows per metric and probability, whatever the input size.
-    asked = {**probabilities, "": 0.0}
-    chosen_bins = (
-        bins.withColumn("wanted", _ranks_of(asked))
-        .withColumn("wanted", F.expr(_INSIDE))
-        .filter("size(wanted) > 0")
-        .drop("rows", "s1", "s2")
-    )
-    carried = [c for c in chosen_bins.columns if c not in ("metric", "bin", "before", "wanted")]
-    by_bin = W.partitionBy("metric", "bin").orderBy("slice").rowsBetween(*so_far)
-    chosen_slices = (
-        counted.join(F.broadcast(chosen_bins), ["metric", "bin"])
-        .groupBy("metric", "bin", F.expr(_SLICE).alias("slice"))
-        .agg(F.sum("n").alias("rows"), *[F.any_value(c).alias(c) for c in ("before", "wanted", *carried)])
-        .withColumn("before", F.col("before") + F.sum("rows").over(by_bin) - F.col("rows"))
-        .withColumn("wanted", F.expr(_INSIDE))
-        .filter("size(wanted) > 0")
-        .drop("rows")
     )
-    by_slice = W.partitionBy("metric", "bin", "slice").orderBy("value").rowsBetween(*so_far)
+    # At most two rows per metric and probability remain, whatever the input size.
+    chosen = _holding_a_rank(bins.withColumn("wanted", _ranks_of(probabilities))).drop("all_rows")
+    place = ["metric", "bin"]
+    for level in range(_LEVELS):
+        name = f"slice_{level}"
+        by_place = W.partitionBy(*place).orderBy(name).rowsBetween(*so_far)
+        sliced = (
+            _inside(long, chosen, place)
+            .groupBy(*place, F.expr(_SLICE).alias(name))
+            .agg(
+                F.count(F.lit(1)).alias("rows"),
+                F.any_value("before").alias("before"),
+                F.any_value("wanted").alias("wanted"),
+                F.any_value(F.struct("low", "high")).alias(f"span_{level}"),
+                F.min("value").alias("low"),
+                F.max("value").alias("high"),
+                *[F.any_value(f"span_{k}").alias(f"span_{k}") for k in range(level)],
+            )
+            .withColumn("before", F.col("before") + F.sum("rows").over(by_place) - F.col("rows"))
+        )
+        chosen = _holding_a_rank(sliced)
+        place = [*place, name]
+    by_slice = W.partitionBy(*place).orderBy("value").rowsBetween(*so_far)
     hits = (
-        counted.join(F.broadcast(chosen_slices), ["metric", "bin"])
-        .filter(F.expr(_SLICE) == F.col("slice"))
+        _inside(long, chosen, place)
+        .groupBy(*place, "value")
+        .agg(F.count(F.lit(1)).alias("n"), F.any_value("before").alias("before"), F.any_value("wanted").alias("wanted"))
         .withColumn("upto", F.col("before") + F.sum("n").over(by_slice))
-        .select("*", F.inline("wanted"))
+        .select("metric", "value", "n", "upto", F.inline("wanted"))
         .filter("rank < upto AND rank >= upto - n")
     )
-    found = hits.groupBy("metric").agg(
-        F.expr("max(all_rows) AS count"),
-        F.expr("max(min) AS min"),
-        F.expr("max(max) AS max"),
-        F.expr("max(mean) AS mean"),
-        F.expr("sqrt(greatest(max(squares), 0D) / nullif(max(all_rows) - 1, 0)) AS stddev"),
-        *[F.expr(_between(name)).alias(name) for name in probabilities],
-    )
-    return _one_row_each(found, list(metrics))
+    points = hits.groupBy("metric").agg(*[F.expr(_between(name)).alias(name) for name in probabilities])
+    return _one_row_each(wide, points, list(metrics), list(probabilities))
+
+
+def _holding_a_rank(counted: DataFrame) -> DataFrame:
+    return counted.withColumn("wanted", F.expr(_INSIDE)).filter("size(wanted) > 0").drop("rows")
+
+
+def _inside(long: DataFrame, chosen: DataFrame, place: Sequence[str]) -> DataFrame:
+    """The values of the chosen bins or slices: one pass, filtered by a broadcast of a few rows."""
+    rows = long.join(F.broadcast(chosen), ["metric", "bin"])
+    for level in range(len(place) - 2):
+        within = _SLICE.replace("low", f"span_{level}.low").replace("high", f"span_{level}.high")
+        rows = rows.filter(F.expr(within) == F.col(f"slice_{level}"))
+    return rows
 
 
 def _between(point: str) -> str:
@@ -160,26 +147,16 @@ def _between(point: str) -> str:
     return f"{low} + ({high} - {low}) * max(fraction) {mine}"
 
 
-def _one_row_each(found: DataFrame, metrics: Sequence[str]) -> DataFrame:
-    """The found rows in the order asked for, and count 0 for a metric without values."""
-    rest = [c for c in found.columns if c not in ("metric", "count")]
-    wide = found.agg(
-        *[
-            F.expr(f"max(struct(count, {', '.join(rest)})) FILTER (WHERE metric = '{m}')").alias(f"m{i}")
-            for i, m in enumerate(metrics)
-        ]
-    )
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(m).alias("metric"),
-                F.coalesce(F.col(f"m{i}.count"), F.lit(0).cast("long")).alias("count"),
-                *[F.col(f"m{i}.{c}").alias(c) for c in rest],
-            )
-            for i, m in enumerate(metrics)
-        ]
+def _one_row_each(wide: DataFrame, points: DataFrame, metrics: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """A row per metric in the order asked for: built-in statistics, then the points found."""
+    parts = {"count": F.count, "min": F.min, "max": F.max, "mean": F.avg, "stddev": F.stddev}
+    basics = wide.agg(
+        *[F.struct(*[f(F.col(f"`{m}`")).alias(n) for n, f in parts.items()]).alias(f"m{i}") for i, m in enumerate(metrics)]
     )
-    return wide.select(F.inline(rows))
+    rows = F.array(*[F.struct(F.lit(i).alias("place"), F.lit(m).alias("metric"), f"m{i}.*") for i, m in enumerate(metrics)])
+    table = basics.select(F.inline(rows))
+    found = table.join(F.broadcast(points), "metric", "left")  # a row per metric
+    return found.orderBy("place").select("metric", *parts, *names)
 
 
 def approximate_quantiles(

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
@@ -58,17 +60,21 @@ def regressors(
     boosting_rounds: int = 100,
     boosting_depth: int = 5,
     boosting_rate: float = 0.1,
+    max_bins: int = 512,
     seed: int = 42,
 ) -> dict[str, object]:
-    """The three candidates, by name; arguments default to full-size training."""
+    """The three candidates, by name; arguments default to full-size training.
+
+    Trees may split on every feature, and ``max_bins`` lets them try each value of a zone id.
+    """
     columns = {"featuresCol": "features", "labelCol": LABEL, "predictionCol": "prediction"}
     return {
         "LinearRegression": LinearRegression(solver="normal", **columns),
         "RandomForest": RandomForestRegressor(
-            numTrees=forest_trees, maxDepth=forest_depth, seed=seed, **columns
+            numTrees=forest_trees, maxDepth=forest_depth, featureSubsetStrategy="all", maxBins=max_bins, seed=seed, **columns
         ),
         "GradientBoosting": GBTRegressor(
-            maxIter=boosting_rounds, maxDepth=boosting_depth, stepSize=boosting_rate, seed=seed, **columns
+            maxIter=boosting_rounds, maxDepth=boosting_depth, stepSize=boosting_rate, maxBins=max_bins, seed=seed, **columns
         ),
     }
 
@@ -92,24 +98,20 @@ class Fitted:
 def train_all(train: DataFrame, candidates: Mapping[str, object]) -> Fitted:
     """Fit every candidate on the same rows.
 
-    Feature stages are fitted once, and the assembled vectors are kept in memory or on disk
-    while the candidates iterate over them. A sample comes out of its ordering in one
-    partition, so rows are spread over the cluster first. Each result is a whole pipeline,
-    features included, ready to be saved.
+    Feature stages are fitted once, and only the assembled vectors are kept, in memory or on
+    disk, while the candidates iterate over them. Rows stay partitioned as they come; keep a
+    sample with ``keep`` before splitting it. Each result is a whole pipeline, features
+    included, ready to be saved.
     """
-    slots = train.sparkSession.sparkContext.defaultParallelism
-    spread = train.repartition(slots).persist(StorageLevel.MEMORY_AND_DISK)
-    features = Pipeline(stages=feature_stages()).fit(spread)
-    kept = features.transform(spread).select("features", LABEL).persist(StorageLevel.MEMORY_AND_DISK)
+    features = Pipeline(stages=feature_stages()).fit(train)
+    kept = features.transform(train).select("features", LABEL).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         rows = kept.count()
-        spread.unpersist()
         models = {
             name: PipelineModel([*features.stages, regressor.fit(kept)])
             for name, regressor in candidates.items()
         }
     finally:
-        spread.unpersist()
         kept.unpersist()
     return Fitted(models, rows)
 
@@ -127,6 +129,24 @@ def evaluate(predicted: DataFrame, label: str = LABEL, prediction: str = "predic
     )
 
 
+def least_squares_conditions(predicted: DataFrame, label: str = LABEL, tolerance: float = 1e-6) -> DataFrame:
+    """Whether residuals of a linear fit average zero and are orthogonal to every feature.
+
+    Both hold on the training rows of exact least squares with an intercept. Sums are set
+    against the size of their terms, so the tolerance has no unit. One pass.
+    """
+    residual = F.col(label) - F.col("prediction")
+    x = vector_to_array("features")
+    terms = [residual * x[i] for i in range(len(FEATURES))]
+    size = lambda c: F.greatest(F.avg(F.abs(c)), F.lit(1e-12))
+    scale = F.greatest(F.avg(F.abs(F.col(label))), F.lit(1e-12))
+    orthogonal = [F.abs(F.avg(t)) <= tolerance * scale * size(x[i]) for i, t in enumerate(terms)]
+    return predicted.agg(
+        (F.abs(F.avg(residual)) <= tolerance * scale).alias("mean_residual_zero"),
+        reduce(lambda a, b: a & b, orthogonal).alias("residuals_orthogonal"),
+    )
+
+
 def leaderboard(fitted: Fitted, test: DataFrame) -> DataFrame:
     """One row per model in the order given: held-out metrics, and whether it is the best.
 

@@ -104,7 +104,7 @@ def day_type_profile(df: DataFrame, at: TripColumns = _AT) -> DataFrame:
 
 
 def top_pickups(df: DataFrame, k: int = 10, at: TripColumns = _AT) -> DataFrame:
-    """Zones are a city's few hundred ids; routes are pairs of them and stay distributed."""
+    """Zones are a city's few hundred ids, so their counts are summed by a window; see ``top_routes``."""
     means = _means(at, "fare", "distance")
     return breakdown(df, [at.origin], means, share="pct", bounded_keys=True, top=k)
 
@@ -114,8 +114,9 @@ def top_dropoffs(df: DataFrame, k: int = 10, at: TripColumns = _AT) -> DataFrame
 
 
 def top_routes(df: DataFrame, k: int = 10, at: TripColumns = _AT) -> DataFrame:
+    """Routes are pairs of zones, so the total is a window over at most zones squared rows."""
     return breakdown(
-        df, [at.origin, at.destination], _means(at, "fare", "distance", "tip"), share="pct", top=k
+        df, [at.origin, at.destination], _means(at, "fare", "distance", "tip"), share="pct", bounded_keys=True, top=k
     )
 
 

@@ -12,40 +12,56 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-def hash_text(keys: Sequence[str], seed: int) -> Column:
-    """Hex digest of seed and key columns; a missing key part hashes as an empty part."""
+
+def hash_text(keys: Sequence[str], seed: int, role: str = "") -> Column:
+    """Hex digest of seed and key columns; a missing key part hashes as an empty part.
+
+    ``role`` goes into the hashed text, so digests for different roles are independent.
+    """
     parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
+    return F.md5(F.concat_ws("|", *[F.lit(x) for x in (role, str(seed)) if x], *parts))
 
 
 def sample_rows(df: DataFrame, n: int, keys: Sequence[str], seed: int = 42) -> DataFrame:
-    """The min(n, rows) rows with the smallest key hash.
+    """The min(n, rows) rows with the smallest key hash, in no order.
 
-    ``orderBy(hash).limit(n)`` alone would let every task hand n rows to the last one. So
-    a first pass counts rows by the head of their hash, which is its leading zeros and the
-    digit after them (a few hundred heads at most, whatever the input). It tells which
-    heads hold the n smallest hashes; only rows up to that head, at most about 2n, are then
-    ordered.
+    ``orderBy(hash).limit(n)`` would let every task hand n rows to the last one. Instead the
+    n-th digest is found and rows are filtered by it, so no row is ever moved to be sorted. A
+    first pass counts rows by the head of their digest, its leading zeros and the digit after
+    them (a few hundred heads at most, whatever the input); a second orders the digests, not
+    the rows, of the one head that holds the n-th. Rows that share that digest are taken in
+    order of their keys until there are n.
     """
     hashed = df.withColumn("_digest", hash_text(keys, seed))
     head = F.expr("substring(_digest, 1, length(_digest) - length(trim(LEADING '0' FROM _digest)) + 1)")
-    so_far = W.orderBy("head").rowsBetween(W.unboundedPreceding, W.currentRow)
+
+    def nth(counted: DataFrame, name: str, before: Column) -> Column:
+        """The first value at which the running count reaches n, and the count before it."""
+        so_far = W.orderBy(name).rowsBetween(W.unboundedPreceding, W.currentRow)
+        upto = counted.withColumn("upto", before + F.sum("rows").over(so_far))
+        reached = upto.filter(F.col("upto") >= n)
+        return reached.agg(F.min(F.struct(F.col(name).alias("value"), (F.col("upto") - F.col("rows")).alias("before")))).scalar()
+
     heads = hashed.groupBy(head.alias("head")).agg(F.count(F.lit(1)).alias("rows"))
-    enough = heads.withColumn("upto", F.sum("rows").over(so_far)).filter(F.col("upto") >= n)
-    last_head = enough.agg(F.min("head")).scalar()
-    # Every digest that starts with a head sorts before that head followed by "g".
-    return (
-        hashed.filter(F.col("_digest") < F.concat(F.coalesce(last_head, F.lit("")), F.lit("g")))
-        .orderBy("_digest", *keys)
-        .limit(n)
-        .drop("_digest")
-    )
+    last_head = nth(heads, "head", F.lit(0))
+    digests = hashed.filter(head == last_head["value"]).groupBy("_digest").agg(F.count(F.lit(1)).alias("rows"))
+    cut = nth(digests, "_digest", last_head["before"])
+    # Without a cut there are fewer than n rows, and all are taken.
+    near = hashed.filter(F.coalesce(F.col("_digest") <= cut["value"], F.lit(True)))
+    tied = F.row_number().over(W.partitionBy("_digest").orderBy(*keys))
+    inside = F.coalesce((F.col("_digest") < cut["value"]) | (F.col("_tied") <= F.lit(n) - cut["before"]), F.lit(True))
+    return near.withColumn("_tied", tied).filter(inside).drop("_digest", "_tied")
 
 
 def in_test(keys: Sequence[str], test_share: float = 0.2, seed: int = 42) -> Column:
-    """True for the rows of the test part, in steps of 1/256 of the hash space."""
-    threshold = f"{round(test_share * 256):02x}"
-    return F.substring(hash_text(keys, seed), 1, 2) < F.lit(threshold)
+    """True for the rows of the test part, whatever sample was drawn with the same seed before.
+
+    The first 32 bits of a digest of its own, as a number, are compared with the share.
+    """
+    if not 0 <= test_share <= 1:
+        raise ValueError("test_share must lie between 0 and 1")
+    place = F.conv(F.substring(hash_text(keys, seed, "split"), 1, 8), 16, 10).cast("long")
+    return place < F.lit(round(test_share * 2**32))
 
 
 def split(

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ridemart.functions.labels import OFF_PEAK, TIME_BANDS
 from ridemart.functions.numeric import rounded
 from ridemart.operators.regression import FEATURES, INPUTS
-from ridemart.operators.rules import Rule, above, mark_broken, one_of
+from ridemart.operators.rules import Rule, mark_broken, one_of
 
 # Zones used when a request names none.
 DEFAULT_PICKUP_ZONE = 161
@@ -24,17 +24,23 @@ def _range(column: str, low: int, high: int) -> Rule:
     return Rule(f"{column} in {low}..{high}", lambda: F.col(column).between(low, high))
 
 
+def _finite_above(column: str, bound: float) -> Rule:
+    """NaN counts as the largest value, so a comparison alone would let it pass."""
+    x = lambda: F.col(column).cast("double")
+    return Rule(f"{column} > {bound}", lambda: (x() > bound) & (x() < float("inf")))
+
+
 def request_rules() -> list[Rule]:
-    """Bounds a scoring request must respect."""
+    """Bounds a scoring request must respect; NaN and infinities break them."""
     return [
-        above("trip_distance", 0),
+        _finite_above("trip_distance", 0),
         _range("passenger_count", 1, 6),
         _range("pickup_hour", 0, 23),
         _range("pickup_dow", 0, 6),
         _range("pickup_month", 1, 12),
         _range("payment_type", 1, 2),
-        above("trip_duration_min", 0),
-        above("avg_speed_mph", 0),
+        _finite_above("trip_duration_min", 0),
+        _finite_above("avg_speed_mph", 0),
         one_of("time_of_day", [*TIME_BANDS, OFF_PEAK], "time_of_day is a known band"),
     ]
 

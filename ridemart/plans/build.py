@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ridemart.operators import cleaning, marts
 from ridemart.operators.columns import TripColumns, Window
@@ -37,14 +38,18 @@ def run(spark: SparkSession, source: str, target: str, window: Window, rebalance
     """Clean, store, aggregate, store. Staging stays a view over the stored trips.
 
     Marts are computed from the stored cleaned trips, so the raw files are read once and
-    each mart reads only the columns it needs.
+    each mart reads only the columns it needs. Trips are stored by year and month; a run
+    replaces the months of its window (which should be whole months) and keeps the others.
     """
     raw = read_trips(spark, source)
     cleaned = write_parquet(
-        cleaning.clean(raw, cleaning.cleaning_rules(window)).drop("extra", "mta_tax"),
+        cleaning.clean(raw, cleaning.cleaning_rules(window))
+        .drop("extra", "mta_tax")
+        .withColumn("pickup_year", F.year(TripColumns().pickup)),
         f"{target}/trips_cleaned",
-        partition_by=["pickup_month"],
+        partition_by=["pickup_year", "pickup_month"],
         rebalance=rebalance,
+        only_these_partitions=True,
     )
     planned = derive_from_clean(cleaned)
     daily = write_parquet(planned.mart_daily_summary, f"{target}/mart_daily_summary")

@@ -27,16 +27,20 @@ def local_session(cores: int = 8, app: str = "ridemart") -> SparkSession:
     )
 
 
-def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder path under the cluster's ``spark.checkpoint.dir``.
+_local: list[tempfile.TemporaryDirectory] = []
 
-    Only in a local session without that setting (tests, the benchmark) a local folder is
-    made and set for the rest of the session.
+
+def shared_folder(spark: SparkSession, purpose: str, root: str | None = None) -> str:
+    """A new folder path under ``root``, by default the cluster's ``spark.checkpoint.dir``.
+
+    Only a local session without that setting (tests, the benchmark) gets a temporary folder,
+    one for the process, which goes when the process ends.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    root = root or spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="ridemart-")
-        spark.sparkContext.setCheckpointDir(root)
+        if not _local:
+            _local.append(tempfile.TemporaryDirectory(prefix="ridemart-", ignore_cleanup_errors=True))
+        root = _local[0].name
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +16,7 @@ def write_parquet(
     path: str,
     partition_by: Sequence[str] = (),
     rebalance: bool = False,
+    only_these_partitions: bool = False,
 ) -> DataFrame:
     """Write a Parquet table and return it read back, with the schema it was written with.
 
@@ -22,9 +24,12 @@ def write_parquet(
     in period order gives few files per partition value. For unordered input set
     ``rebalance``: one shuffle by the partition columns, whose partitions adaptive
     execution splits when they are too large (a hot month) and merges when too small.
+    ``only_these_partitions`` replaces the partitions that occur in the rows and leaves the
+    table's others as they are.
     """
     out = df.hint("rebalance", *[F.col(c) for c in partition_by]) if rebalance else df
-    out.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    mode = "dynamic" if only_these_partitions else "static"
+    out.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(*partition_by).parquet(path)
     return read_parquet(df.sparkSession, path, df.schema)
 
 
@@ -52,9 +57,14 @@ def table_or(spark: SparkSession, name: str, derive: Callable[[], DataFrame]) ->
 
 def csv_or(spark: SparkSession, path: str, schema: T.StructType, derive: Callable[[], DataFrame]) -> DataFrame:
     """The CSV export when the path exists, otherwise the derived DataFrame."""
-    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return read_mart_csv(spark, path, schema) if fs.exists(jpath) else derive()
+    try:
+        found = read_mart_csv(spark, path, schema)
+        found.schema  # resolves the path
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return derive()
+    return found
 
 
 def export_mart(df: DataFrame, path: str) -> None:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,14 +16,45 @@ SOURCE_FILE = "source_file"
 
 
 
+def _same_types(spark: SparkSession, files: list[str]) -> list[list[str]]:
+    """The files in runs whose columns have the same types; only footers are read.
+
+    Footers are merged in a Spark job. Files that cannot be merged are halved and tried again,
+    so a change of types in a long list is found in a few jobs.
+    """
+    try:
+        spark.read.option("mergeSchema", True).parquet(*files).schema
+    except Exception as differing:
+        if len(files) == 1 or "CANNOT_MERGE" not in str(differing):
+            raise
+        half = len(files) // 2
+        return [*_same_types(spark, files[:half]), *_same_types(spark, files[half:])]
+    return [files]
+
+
 def read_trips(spark: SparkSession, *paths: str, with_file: bool = False) -> DataFrame:
     """Raw trips from Parquet folders, globs or files, with the fixed raw schema.
 
-    Other columns in the files are not read. ``with_file`` adds the path of the file each
-    row came from.
+    Files may differ in column types (monthly files drift between whole numbers and doubles,
+    and between widths) and in the case of column names: those of one kind are read together
+    with their own types and cast, where types differ. Other columns are not read. A file
+    without one of the columns is an error. ``with_file`` adds the path of each row's file.
     """
-    df = require_columns(spark.read.parquet(*paths), columns_of(RAW_TRIPS))
-    fixed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW_TRIPS.fields]
+    first = spark.read.parquet(*paths)
+    groups = _same_types(spark, [unquote(f) for f in first.inputFiles()] or list(paths))
+    if len(groups) == 1:
+        return _fixed(first, with_file)
+    kinds: dict[tuple, list[str]] = {}
+    for files in groups:
+        fields = spark.read.parquet(*files).schema.fields
+        kinds.setdefault(tuple(sorted((f.name.lower(), f.dataType.simpleString()) for f in fields)), []).extend(files)
+    return reduce(DataFrame.unionByName, [_fixed(spark.read.parquet(*files), with_file) for files in kinds.values()])
+
+
+def _fixed(df: DataFrame, with_file: bool) -> DataFrame:
+    names = {c.lower(): c for c in df.columns}
+    require_columns(df.toDF(*[c.lower() for c in df.columns]), [c.lower() for c in columns_of(RAW_TRIPS)])
+    fixed = [F.col(names[f.name.lower()]).cast(f.dataType).alias(f.name) for f in RAW_TRIPS.fields]
     if with_file:
         fixed.append(F.col("_metadata.file_path").alias(SOURCE_FILE))
     return df.select(*fixed)
@@ -45,13 +79,18 @@ def volume(df: DataFrame, file_column: str = SOURCE_FILE, at: TripColumns = Trip
     ).withColumn("date_span_days", day_distance("earliest_trip", "latest_trip"))
 
 
-def describe_schema(df: DataFrame) -> DataFrame:
-    """Column name, type and nullability of any DataFrame, as rows in column order.
+def describe_schema(df: DataFrame, count_nulls: bool = False) -> DataFrame:
+    """Column name, type and nullability of any DataFrame, as rows in column order; runs no job.
 
-    Parquet declares every column nullable, so ``nullable`` says whether the data has nulls;
-    they are counted for all columns in one scan.
+    Parquet declares every column nullable. With ``count_nulls`` nulls are counted for all
+    columns in one scan, and ``nullable`` says whether the data has any.
     """
-    counted = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(df.columns)])
+    fields = list(enumerate(df.schema.fields))
+    if not count_nulls:
+        rows = [(i, f.name, f.dataType.simpleString(), "YES" if f.nullable else "NO") for i, f in fields]
+        shape = "position int, column_name string, column_type string, nullable string"
+        return df.sparkSession.createDataFrame(rows, shape)
+    counted = df.agg(*[F.count_if(F.col(f"`{f.name}`").isNull()).alias(f"n{i}") for i, f in fields])
     arms = F.array(
         *[
             F.struct(
@@ -61,7 +100,7 @@ def describe_schema(df: DataFrame) -> DataFrame:
                 F.when(F.col(f"n{i}") > 0, "YES").otherwise("NO").alias("nullable"),
                 F.col(f"n{i}").alias("null_count"),
             )
-            for i, f in enumerate(df.schema.fields)
+            for i, f in fields
         ]
     )
     return counted.select(F.inline(arms))
@@ -74,36 +113,59 @@ def trips_from_events(events: DataFrame) -> DataFrame:
     ``source_file`` of the input is carried along.
     """
     carried = [c for c in events.columns if c == SOURCE_FILE]
-    shaped = events.filter("CAST(ts AS DATE) <> DATE'2024-01-17'").selectExpr(
+    shaped = events.selectExpr(
         "event_id AS trip_id",
-        "1 + event_id % 2 AS VendorID",
+        "user_id",
         "IF(event_id % 211 = 0, ts - INTERVAL '8000' DAY, ts + INTERVAL '1' DAY * (event_id % 3 * 30))"
         " AS tpep_pickup_datetime",
         "CASE WHEN event_id % 97 = 0 THEN 0 WHEN event_id % 89 = 0 THEN 14400"
         " ELSE 20 + event_id * 37 % 5400 END AS ride_s",
         "IF(event_id % 41 = 0, NULL, DOUBLE((user_id + event_id) % 8)) AS passenger_count",
         "IF(event_id % 307 = 0, 250D, DOUBLE(event_id * 53 % 2500) / 100) AS trip_distance",
-        "CASE WHEN event_id % 41 = 0 THEN NULL WHEN event_id % 50 = 0 THEN 99D"
-        " ELSE DOUBLE(1 + event_id % 7) END AS RatecodeID",
-        "1 + user_id * 7 % 24 AS PULocationID",
-        "1 + event_id * 11 % 17 AS DOLocationID",
-        "CASE WHEN event_id % 199 = 0 THEN 0L WHEN event_id % 10 < 6 THEN 1L WHEN event_id % 10 < 8 THEN 2L"
-        " ELSE 3 + event_id % 4 END AS payment_type",
         "3 + DOUBLE(event_id * 53 % 2500) / 40 + value / 10 AS base_fare",
-        "DOUBLE(event_id % 3) / 2 AS extra",
-        "0.5D AS mta_tax",
-        "IF(event_id % 151 = 0, -1D, DOUBLE(event_id * 7 % 900) / 100) AS tip_amount",
-        "IF(event_id % 13 = 0, 6.55D, 0D) AS tolls_amount",
-        "IF(event_id % 41 = 0, NULL, 2.5D) AS congestion_surcharge",
         *carried,
-    )
-    priced = shaped.selectExpr(
+    ).selectExpr(
         "*",
         "CASE WHEN trip_id % 113 = 0 THEN -base_fare WHEN trip_id % 127 = 0 THEN base_fare + 500"
         " ELSE base_fare END AS fare_amount",
         "tpep_pickup_datetime + INTERVAL '1' SECOND * ride_s AS tpep_dropoff_datetime",
-    ).selectExpr("*", "fare_amount + extra + mta_tax + tip_amount + tolls_amount AS total_amount")
-    names = ["trip_id", *columns_of(RAW_TRIPS), *carried]
-    # A generated row fixes the derived values once. Without it the optimizer rewrites every
-    # filter above in terms of the formulas, repeating them dozens of times per row.
-    return priced.select(F.inline(F.array(F.struct(*names))))
+    )
+    # A generated row fixes the costly values once. Without it the optimizer rewrites every
+    # filter above in terms of the formulas, repeating them dozens of times per row. It holds
+    # few fields, so that the code made for a scan stays small enough for the JVM to compile.
+    fixed = [
+        "trip_id", "user_id", "tpep_pickup_datetime", "tpep_dropoff_datetime", "passenger_count", "trip_distance",
+        "fare_amount", *carried,
+    ]
+    return (
+        shaped.select(F.inline(F.array(F.struct(*fixed))))
+        .selectExpr(
+            "*",
+            "DOUBLE(trip_id % 3) / 2 AS extra",
+            "0.5D AS mta_tax",
+            "IF(trip_id % 151 = 0, -1D, DOUBLE(trip_id * 7 % 900) / 100) AS tip_amount",
+            "IF(trip_id % 13 = 0, 6.55D, 0D) AS tolls_amount",
+        )
+        .selectExpr(
+            "trip_id",
+            "1 + trip_id % 2 AS VendorID",
+            "tpep_pickup_datetime",
+            "tpep_dropoff_datetime",
+            "passenger_count",
+            "trip_distance",
+            "CASE WHEN trip_id % 41 = 0 THEN NULL WHEN trip_id % 50 = 0 THEN 99D"
+            " ELSE DOUBLE(1 + trip_id % 7) END AS RatecodeID",
+            "1 + user_id * 7 % 24 AS PULocationID",
+            "1 + trip_id * 11 % 17 AS DOLocationID",
+            "CASE WHEN trip_id % 199 = 0 THEN 0L WHEN trip_id % 10 < 6 THEN 1L WHEN trip_id % 10 < 8 THEN 2L"
+            " ELSE 3 + trip_id % 4 END AS payment_type",
+            "fare_amount",
+            "extra",
+            "mta_tax",
+            "tip_amount",
+            "tolls_amount",
+            "fare_amount + extra + mta_tax + tip_amount + tolls_amount AS total_amount",
+            "IF(trip_id % 41 = 0, NULL, 2.5D) AS congestion_surcharge",
+            *carried,
+        )
+    )

@@ -13,23 +13,23 @@ def fitted(spark):
     rows = regression.training_rows(Inputs(spark, "/root/testdata/sf0.01").keyed_stg, KEY)
     train, test = sampling.split(rows, KEY)
     small = regression.regressors(forest_trees=5, forest_depth=5, boosting_rounds=5, boosting_depth=4)
-    return regression.train_all(train, small), test
+    return regression.train_all(train, small), train, test
 
 
 def test_candidates_are_good_enough_and_ranked(fitted):
-    models, test = fitted
+    models, train, test = fitted
     board = regression.leaderboard(models, test)
     rows = {r["model_type"]: r for r in board.collect()}
     assert set(rows) == {"LinearRegression", "RandomForest", "GradientBoosting"}
     for row in rows.values():
         assert row["r2"] > 0.75 and row["mae"] > 0 and row["rmse"] >= row["mae"]
-        assert row["n_train_rows"] + row["n_test_rows"] == test.count() + row["n_train_rows"]
+        assert (row["n_train_rows"], row["n_test_rows"]) == (train.count(), test.count())
     assert sum(r["is_best"] for r in rows.values()) == 1
     assert min(rows.values(), key=lambda r: r["mae"])["is_best"]
 
 
 def test_saved_model_scores_the_same(fitted, tmp_path):
-    models, test = fitted
+    models, train, test = fitted
     board = regression.leaderboard(models, test)
     name = regression.save_best(models, board, str(tmp_path / "best"))
     loaded = regression.load_model(str(tmp_path / "best"))
@@ -66,6 +66,7 @@ def test_band_codes(spark):
     assert codes == {"evening_rush": 0.0, "morning_rush": 1.0, "off_peak": 2.0}
 
 
+# The example request.
 REQUEST = {
     "trip_distance": 2.5,
     "passenger_count": 1,
@@ -103,6 +104,10 @@ def requests(spark, *changes):
         ({"trip_duration_min": 0.0}, "trip_duration_min > 0"),
         ({"avg_speed_mph": None}, "avg_speed_mph > 0"),
         ({"time_of_day": "noon"}, "time_of_day is a known band"),
+        ({"trip_distance": float("nan")}, "trip_distance > 0"),
+        ({"trip_duration_min": float("inf")}, "trip_duration_min > 0"),
+        ({"avg_speed_mph": float("nan")}, "avg_speed_mph > 0"),
+        ({"avg_speed_mph": float("-inf")}, "avg_speed_mph > 0"),
     ],
 )
 def test_request_bounds(spark, change, reason):
@@ -111,7 +116,11 @@ def test_request_bounds(spark, change, reason):
 
 
 def test_scoring_keeps_every_request_and_its_inputs(spark, fitted):
-    models, _ = fitted
+    models, _, _ = fitted
+    nan, inf = float("nan"), float("inf")
+    odd = [{"trip_distance": nan}, {"trip_duration_min": inf}, {"avg_speed_mph": nan}]
+    refused = scoring.score(requests(spark, *odd), models.models["LinearRegression"]).collect()
+    assert all(r["predicted_fare_usd"] is None and not r["accepted"] for r in refused)
     asked = requests(spark, {}, {"time_of_day": "noon"}, {"avg_speed_mph": None}, {"pickup_location_id": None})
     for name, model in models.models.items():
         got = scoring.score(asked, model).collect()
@@ -123,7 +132,7 @@ def test_scoring_keeps_every_request_and_its_inputs(spark, fitted):
 
 
 def test_zone_columns_may_be_absent(spark, fitted):
-    models, _ = fitted
+    models, _, _ = fitted
     short = requests(spark, {}).drop("pickup_location_id", "dropoff_location_id")
     model = models.models["LinearRegression"]
     assert (
@@ -135,13 +144,31 @@ def test_zone_columns_may_be_absent(spark, fitted):
 def test_stream_scores_equal_batch_scores(spark, fitted, tmp_path):
     from ridemart.streaming.scoring import score_stream
 
-    models, _ = fitted
+    models, _, _ = fitted
     model = models.models["RandomForest"]
     source = str(tmp_path / "requests")
-    asked = requests(spark, {}, {"trip_distance": 9.0}, {"payment_type": 5})
+    asked = requests(spark, {}, {"trip_distance": 9.0}, {"payment_type": 5}, {"trip_distance": float("nan")}, {"avg_speed_mph": float("inf")})
     asked.write.parquet(source)
     stream = spark.readStream.schema(asked.schema).parquet(source)
     out = score_stream(stream, model, str(tmp_path / "scored"), str(tmp_path / "log"))
     columns = ["trip_distance", "accepted", "predicted_fare_usd"]
     batch = scoring.score(asked, model).select(*columns)
-    assert sorted(out.select(*columns).collect(), key=str) == sorted(batch.collect(), key=str)
+    assert sorted(map(str, out.select(*columns).collect())) == sorted(map(str, batch.collect()))  # NaN is not NaN
+
+
+def test_candidates_have_full_size_and_all_features(spark):
+    made = regression.regressors()
+    forest, boosting = made["RandomForest"], made["GradientBoosting"]
+    assert (forest.getNumTrees(), forest.getMaxDepth(), forest.getFeatureSubsetStrategy()) == (100, 10, "all")
+    assert (boosting.getMaxIter(), boosting.getMaxDepth(), boosting.getStepSize()) == (100, 5, 0.1)
+    assert forest.getMaxBins() >= 512 and boosting.getMaxBins() >= 512
+
+
+def test_least_squares_conditions_tell_a_wrong_line(spark, fitted):
+    models, train, _ = fitted
+    predicted = models.models["LinearRegression"].transform(train)
+    assert tuple(regression.least_squares_conditions(predicted).first()) == (True, True)
+    moved = predicted.withColumn("prediction", F.col("prediction") + 0.01)
+    tilted = predicted.withColumn("prediction", F.col("prediction") + (F.col("trip_distance") - 12) / 100)
+    assert not regression.least_squares_conditions(moved).first()["mean_residual_zero"]
+    assert not regression.least_squares_conditions(tilted).first()["residuals_orthogonal"]

@@ -1,3 +1,4 @@
+import statistics
 import math
 import random
 
@@ -79,12 +80,27 @@ def test_empty_input_gives_one_row_per_metric(spark):
     assert [(r["metric"], r["count"], r["median"]) for r in rows] == [("x", 0, None)]
 
 
-def test_value_counts_are_shuffled_once(spark, inputs):
+def test_no_values_are_shuffled_before_bins_are_chosen(spark, inputs):
     df = summarise(inputs.table("lineitem"), {"p": "l_extendedprice"}, {"p50": 0.5})
-    df.collect()
-    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert "ReusedExchange" in plan
-    assert plan.count("FileScan") == 1
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    by_value = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "value#" in line]
+    assert by_value and all("slice_1" in line for line in by_value)
+
+
+def test_deviation_of_offset_columns(spark):
+    near = [1e9 + i % 100 for i in range(20_000)]
+    far = [1.7e15 + i for i in range(0, 1_000_000, 50)]
+    for values in (near, far):
+        row = summarise(frame(spark, values), {"x": "x"}, {"mid": 0.5}).first()
+        assert row["stddev"] == pytest.approx(statistics.stdev(values), rel=1e-9)
+        assert row["mid"] == statistics.median(values)
+
+
+def test_values_in_a_clump_are_cut_further(spark):
+    rows = spark.range(50_000).selectExpr("1000000 + id / 50000 AS x").union(spark.createDataFrame([(1_003_000.0,)], "x double"))
+    row = summarise(rows, {"x": "x"}, {"p25": 0.25, "mid": 0.5}).first()
+    ordered = sorted(r["x"] for r in rows.collect())
+    assert row["mid"] == ordered[25_000] and row["p25"] == pytest.approx(ordered[12_500], abs=1e-9)
 
 
 def test_sketch_form_is_close(inputs):
