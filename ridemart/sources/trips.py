@@ -7,6 +7,7 @@ from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ridemart.operators.columns import TripColumns
 from ridemart.functions.temporal import day_distance
@@ -33,7 +34,12 @@ def _same_types(spark: SparkSession, files: list[str]) -> list[list[str]]:
 
 
 def read_trips(spark: SparkSession, *paths: str, with_file: bool = False) -> DataFrame:
-    """Raw trips from Parquet folders, globs or files, with the fixed raw schema.
+    """Raw trips from Parquet folders, globs or files, with the fixed raw schema."""
+    return read_as(spark, RAW_TRIPS, *paths, with_file=with_file)
+
+
+def read_as(spark: SparkSession, schema: T.StructType, *paths: str, with_file: bool = False) -> DataFrame:
+    """The columns of a schema from Parquet folders, globs or files.
 
     Files may differ in column types (monthly files drift between whole numbers and doubles,
     and between widths) and in the case of column names: those of one kind are read together
@@ -43,18 +49,18 @@ def read_trips(spark: SparkSession, *paths: str, with_file: bool = False) -> Dat
     first = spark.read.parquet(*paths)
     groups = _same_types(spark, [unquote(f) for f in first.inputFiles()] or list(paths))
     if len(groups) == 1:
-        return _fixed(first, with_file)
+        return _fixed(first, schema, with_file)
     kinds: dict[tuple, list[str]] = {}
     for files in groups:
         fields = spark.read.parquet(*files).schema.fields
         kinds.setdefault(tuple(sorted((f.name.lower(), f.dataType.simpleString()) for f in fields)), []).extend(files)
-    return reduce(DataFrame.unionByName, [_fixed(spark.read.parquet(*files), with_file) for files in kinds.values()])
+    return reduce(DataFrame.unionByName, [_fixed(spark.read.parquet(*files), schema, with_file) for files in kinds.values()])
 
 
-def _fixed(df: DataFrame, with_file: bool) -> DataFrame:
+def _fixed(df: DataFrame, schema: T.StructType, with_file: bool) -> DataFrame:
     names = {c.lower(): c for c in df.columns}
-    require_columns(df.toDF(*[c.lower() for c in df.columns]), [c.lower() for c in columns_of(RAW_TRIPS)])
-    fixed = [F.col(names[f.name.lower()]).cast(f.dataType).alias(f.name) for f in RAW_TRIPS.fields]
+    require_columns(df.toDF(*[c.lower() for c in df.columns]), [c.lower() for c in columns_of(schema)])
+    fixed = [F.col(names[f.name.lower()]).cast(f.dataType).alias(f.name) for f in schema.fields]
     if with_file:
         fixed.append(F.col("_metadata.file_path").alias(SOURCE_FILE))
     return df.select(*fixed)

@@ -4,9 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ridemart.sources.trips import read_as
+
+# The columns of Spark's file source, of which only the path is read.
+_FILES = "path string, modificationTime timestamp, length long, content binary"
+
 
 def ingest_new(
     spark: SparkSession,
@@ -20,24 +28,32 @@ def ingest_new(
 ) -> DataFrame:
     """Load the files not loaded before and return the whole target table.
 
-    The checkpoint remembers loaded files and the Parquet sink commits each batch once, so
-    a run after a failure neither skips nor repeats a file. ``transform`` has to be
+    What streams is the names of new files; each batch of files is then read with its own
+    column types and cast, so a file whose types have drifted does not stop the stream. The
+    checkpoint remembers loaded files, and a batch that is repeated after a failure replaces
+    what it had written, so no file is skipped or loaded twice. ``transform`` has to be
     row-wise. ``checkpoint`` and ``target`` belong on storage all executors share.
     """
+
+    def load(batch: DataFrame, number: int) -> None:
+        files = [unquote(r["path"]) for r in batch.collect()]  # files_per_batch names at most
+        if files:
+            transform(read_as(spark, schema, *files)).write.mode("overwrite").parquet(f"{target}/batch={number}")
+
     arriving = (
-        spark.readStream.schema(schema)
+        spark.readStream.format("binaryFile")
+        .schema(_FILES)
         .option("pathGlobFilter", file_glob)
         .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(source)
+        .load(source)
+        .select("path")
     )
-    shaped = transform(arriving)
     query = (
-        shaped.writeStream.format("parquet")
-        .option("path", target)
+        arriving.writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
-        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return spark.read.schema(shaped.schema).parquet(target)
+    shape = transform(spark.createDataFrame([], schema)).schema
+    return spark.read.schema(shape).parquet(target).select(*[F.col(f"`{c}`") for c in shape.names])

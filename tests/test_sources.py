@@ -114,6 +114,10 @@ def test_ingest_picks_up_each_file_once(spark, raw_folder, inputs, tmp_path):
     assert run().count() == 100  # nothing new
     raw.limit(30).write.mode("append").parquet(source)
     assert run().count() == 130
+    drifted = raw.limit(20).withColumn("passenger_count", F.col("passenger_count").cast("long"))
+    drifted.withColumn("VendorID", F.col("VendorID").cast("int")).write.mode("append").parquet(source)
+    found = run()
+    assert found.count() == 150 and found.schema == RAW_TRIPS and run().count() == 150
 
 
 def test_describe_schema(spark):
