@@ -61,7 +61,7 @@ def built_in_percentiles(raw: DataFrame) -> DataFrame:
 
 def fit_models(stg: DataFrame) -> None:
     """The three candidates at full size on a sample of 500,000 staged trips."""
-    rows = regression.training_rows(stg, ["trip_id"], seed=7)
+    rows = regression.training_rows(stg, ["trip_id"])
     train, test = (part.persist() for part in sampling.split(rows, ["trip_id"]))
     print("train", train.count(), "test", test.count(), flush=True)
     for name, candidate in regression.regressors().items():
@@ -83,7 +83,8 @@ def main() -> None:
 
     spark = local_session(8, "ridemart-scale-up")
     spark.sparkContext.setLogLevel("ERROR")
-    folder = args.keep or tempfile.mkdtemp(prefix="ridemart-scale-")
+    made = None if args.keep else tempfile.TemporaryDirectory(prefix="ridemart-scale-", ignore_cleanup_errors=True)
+    folder = args.keep or made.name  # a folder of our own goes when the run ends
     if not args.keep:
         events = spark.read.schema(EVENTS).parquet(f"{args.data}/events.parquet").repartition(24)
         copies = F.explode(F.sequence(F.lit(0), F.lit(args.copies - 1)))
@@ -109,7 +110,7 @@ def main() -> None:
     clock("validity, one pass", lambda: drain(quality.validity(raw, quality.validity_checks())))
     clock("validity, one scan per check", lambda: drain(per_check_scans(raw)))
     clock("column quality", lambda: drain(quality.column_quality(raw, list(quality.NULL_COUNT_NAMES))))
-    clock("numeric summary, spread value counts", lambda: drain(profile.numeric_summary(raw, profile.trip_metrics())))
+    clock("numeric summary, bins and slices", lambda: drain(profile.numeric_summary(raw, profile.trip_metrics())))
     clock("numeric summary, built-in percentile", lambda: drain(built_in_percentiles(raw)))
     clock("route table", lambda: drain(reports.route_table(clean)))
     clock("insights", lambda: drain(reports.insights(clean)))
@@ -118,7 +119,8 @@ def main() -> None:
         "sample of 200,000, plain order and limit",
         lambda: drain(raw.orderBy(sampling.hash_text(["trip_id"], 42)).limit(200_000)),
     )
-    clock("correlations on 200,000", lambda: drain(profile.correlations(raw, ["trip_id"])))
+    clock("correlations on 200,000", lambda: drain(profile.correlations(raw, ["trip_id"], n=200_000)))
+    clock("correlations on all rows", lambda: drain(profile.correlations(raw, ["trip_id"])))
     runs = iter(range(10))
     clock("store cleaned trips and both marts", lambda: build.run(spark, f"{folder}/raw", f"{folder}/out{next(runs)}", WINDOW))
     spark.stop()
