@@ -224,6 +224,7 @@ def top_k(
     blocks = _packed(rows.filter("_asks AND vec_id IS NOT NULL"), block_rows, False, "query_blocks").select(
         F.col("chunk").alias("block"), "dim", F.col("number").alias("block_no"), F.col("data").alias("queries")
     )
+    # One row for each length of vectors, which is all that is broadcast below.
     many = shards.groupBy("dim").agg(F.count(F.lit(1)).alias("shards"))
     asked = blocks.groupBy("dim").agg(F.count(F.lit(1)).alias("blocks"))
     wanted = blocks.join(F.broadcast(many), "dim").withColumn("home", F.col("block_no") % F.col("shards"))
