@@ -1,6 +1,7 @@
 """License scans: MinHash bands of overlapping windows retrieve templates, containment verifies.
 
-Texts and templates become shingles of five words. Templates are grouped by length; for a group
+Texts and templates become shingles of five words; a template of fewer words is one shingle, and
+texts get shingles of that length as well. Templates are grouped by length; for a group
 of up to 2s shingles, windows of 3s shingles start every s, so that every passage as long as a
 template lies within one window. A window's signature has one minimum for each of ``BANDS``
 hash functions, and each is a band of its own: window and template are compared when they agree
@@ -65,6 +66,9 @@ TEMPLATES = [
     ),
 ]
 
+#: Notices of fewer than five words.
+SHORT_NOTICES = [("All-rights-reserved", "All rights reserved.")]
+
 _GAP = r"[^\p{L}\p{N}]+"
 
 
@@ -74,11 +78,11 @@ def words_of(text: str | Column) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(column, F.lit(""))), _GAP), "")
 
 
-def shingles_of(words: str | Column) -> Column:
-    """Hashes of all runs of five words, in order; none for fewer words."""
+def shingles_of(words: str | Column, length: int = SHINGLE) -> Column:
+    """Hashes of all runs of ``length`` words, in order; none for fewer words."""
     hashes = F.transform(words, lambda w: F.xxhash64(w))
-    many = F.size(words) - SHINGLE
-    at = lambda h, i: F.xxhash64(*[F.get(h, i + k) for k in range(SHINGLE)])
+    many = F.size(words) - length
+    at = lambda h, i: F.xxhash64(*[F.get(h, i + k) for k in range(length)])
     # The hashes go into a one-element array so that the inner lambda refers to them by name.
     listed = F.transform(F.array(hashes), lambda h: F.transform(F.sequence(F.lit(0), many), lambda i: at(h, i)))
     return F.when(many >= 0, listed[0]).otherwise(F.array().cast("array<bigint>"))
@@ -91,9 +95,11 @@ def signature_of(shingles: Column, bands: int = BANDS) -> Column:
 
 
 def template_table(spark: SparkSession, templates: Sequence[tuple[str, str]]) -> DataFrame:
-    """license, parts (distinct shingles), step and signature; templates under five words are void."""
+    """license, length of a shingle, parts (distinct shingles), step and signature; none without words."""
     rows = spark.createDataFrame(list(templates), "license string, text string")
-    parts = rows.select("license", F.array_distinct(shingles_of(words_of("text"))).alias("parts")).filter("size(parts) > 0")
+    words = rows.select("license", words_of("text").alias("words")).withColumn("length", F.least(F.size("words"), F.lit(SHINGLE)))
+    of_length = F.coalesce(*[F.when(F.col("length") == n, shingles_of("words", n)) for n in range(1, SHINGLE + 1)])
+    parts = words.filter("length > 0").select("license", "length", F.array_distinct(of_length).alias("parts"))
     step = F.pow(F.lit(2.0), F.greatest(F.ceil(F.log2(F.size("parts"))) - 1, F.lit(0))).cast("int")
     return parts.withColumn("step", step).withColumn("signature", signature_of(F.col("parts")))
 
@@ -116,7 +122,7 @@ def windows(marked: DataFrame, step: int) -> DataFrame:
 
 def scan(
     docs: DataFrame,
-    templates: Sequence[tuple[str, str]] = tuple(TEMPLATES),
+    templates: Sequence[tuple[str, str]] = (*TEMPLATES, *SHORT_NOTICES),
     contained: float = CONTAINED,
     bands: int = BANDS,
     key: str = "doc_id",
@@ -126,7 +132,7 @@ def scan(
 
     ``containment`` is the best of the document's windows, ``start`` the number of the word at
     which the first window of that containment begins, ``windows`` how many windows match. Null
-    and short texts and texts without a match give no row; rows with the same key are reported
+    texts and texts without a match give no row; rows with the same key are reported
     together, those with a null key under null. Equal templates under different names are all
     reported. Other columns are not read.
     """
@@ -153,13 +159,16 @@ def scan(
 def _scan(docs: DataFrame, table: DataFrame, contained: float, bands: int, key: str, text: str) -> DataFrame:
     known = stored(table, "license_templates")
     summary = known.agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("parts")))).alias("parts"), F.sort_array(F.collect_set("step")).alias("steps")
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("parts")))).alias("parts"), F.sort_array(F.collect_set("step")).alias("steps"),
+        F.sort_array(F.collect_set("length")).alias("lengths"),
     ).first()  # bounded by PASS_WORDS
     anything = F.lit(summary["parts"] or []).cast("array<bigint>")
     # A generated row holds words and shingles once; otherwise the filter below would be rewritten
     # in terms of the text and split it again for every use.
     words = docs.select(F.col(key).alias("doc_id"), F.explode(F.array(words_of(text))).alias("words"))
-    hashed = words.select("doc_id", F.explode(F.array(shingles_of("words"))).alias("shingles"))
+    # One row for each length of shingles; shingles of different lengths have different hashes.
+    of_lengths = [shingles_of("words", n) for n in summary["lengths"] or [SHINGLE]]
+    hashed = words.select("doc_id", F.explode(F.array(*of_lengths)).alias("shingles"))
     held = hashed.withColumn("found", F.array_intersect("shingles", anything)).filter("size(found) > 0")
     # Few texts hold a shingle of a template; written once, they serve every window length.
     candidates = stored(held, "license_candidates")
@@ -190,12 +199,10 @@ def query(spark: SparkSession, folder: str) -> DataFrame:
     return scan(spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text"))
 
 
-def _oracle() -> str:
-    quoted = ", ".join("('{}', '{}')".format(*(x.replace("'", "''") for x in t)) for t in TEMPLATES)
-    shingles = (
-        "CASE WHEN len(w) >= 5 THEN list_transform(range(0, len(w) - 4), "
-        "lambda i: w[i+1] || ' ' || w[i+2] || ' ' || w[i+3] || ' ' || w[i+4] || ' ' || w[i+5]) ELSE [] END"
-    )
+def _oracle(templates: Sequence[tuple[str, str]], length: int) -> str:
+    quoted = ", ".join("('{}', '{}')".format(*(x.replace("'", "''") for x in t)) for t in templates)
+    run = " || ' ' || ".join(f"w[i+{k + 1}]" for k in range(length))
+    shingles = f"CASE WHEN len(w) >= {length} THEN list_transform(range(0, len(w) - {length - 1}), lambda i: {run}) ELSE [] END"
     split = "list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '')"
     return f"""
 WITH named(license, text) AS (VALUES {quoted}),
@@ -222,4 +229,4 @@ FROM held WHERE containment >= {CONTAINED} GROUP BY ALL
 """
 
 
-ORACLE = _oracle()
+ORACLE = f"SELECT * FROM ({_oracle(TEMPLATES, SHINGLE)}) UNION ALL SELECT * FROM ({_oracle(SHORT_NOTICES, 3)})"

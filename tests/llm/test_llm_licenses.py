@@ -81,3 +81,21 @@ def test_collision_is_all_but_certain():
 def test_no_python_in_the_plan(spark):
     plan = licenses.query(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "NestedLoop" not in plan
+
+
+def test_templates_of_fewer_than_five_words(spark):
+    templates = [("all", "All rights reserved."), ("tag", "SPDX-License-Identifier: MIT"), ("word", "Unlicense"), ("MIT", "Released under the MIT License.")]
+    texts = ["(c) 2020. ALL RIGHTS\nRESERVED", "all rights are reserved", "# spdx-license-identifier: mit\n" * 3, "one two unlicense", "rights reserved all"]
+    rows = [*enumerate(texts), (10, "x " * 90 + "All rights reserved. Released under the MIT license."), (11, "all rights"), (12, None)]
+    want = {}
+    for doc, text in rows:
+        words = words_of(text)
+        for name, wording in templates:
+            part = words_of(wording)
+            at = [i for i in range(len(words) - len(part) + 1) if words[i : i + len(part)] == part]
+            starts = sorted({s for i in at for s in range(max(i - 2, 0), i + 1)})
+            if starts:
+                want[(doc, name)] = (1.0, starts[0], len(starts))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {k[1] for k in want} == {n for n, _ in templates} and found(df, templates) == want
+    assert {(0, "All-rights-reserved"), (10, "All-rights-reserved")} <= {(r.doc_id, r.license) for r in licenses.scan(df).collect()}
