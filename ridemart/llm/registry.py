@@ -6,7 +6,9 @@ from ridemart.llm import (
     licenses,
     mixing,
     packing,
+    periodic_runs,
     quality_rules,
+    resampling,
     sharding,
     simhash,
     token_files,
@@ -26,6 +28,8 @@ QUERIES = {
     "op8_sharding": sharding.query,
     "op9_warc": warc.query,
     "op10_licenses": licenses.query,
+    "op12_periodic_runs": periodic_runs.query,
+    "op13_resampling": resampling.query,
 }
 
 ORACLES = {
@@ -33,4 +37,5 @@ ORACLES = {
     "op4_top_k": vector_search.ORACLE,
     "op9_warc": warc.ORACLE,
     "op10_licenses": licenses.ORACLE,
+    "op13_resampling": resampling.ORACLE,
 }
