@@ -11,6 +11,7 @@ from ridemart.llm import (
     resampling,
     sharding,
     simhash,
+    suffix_dedup,
     token_files,
     url_filter,
     vector_search,
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_sharding": sharding.query,
     "op9_warc": warc.query,
     "op10_licenses": licenses.query,
+    "op11_suffix_dedup": suffix_dedup.query,
     "op12_periodic_runs": periodic_runs.query,
     "op13_resampling": resampling.query,
 }
