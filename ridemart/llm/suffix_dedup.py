@@ -33,77 +33,56 @@ LENGTH = 400
 
 @dataclass(frozen=True)
 class Cuts:
-    """Where texts are cut, for strings of ``length`` bytes."""
+    """Where texts are cut, for strings of ``length`` bytes.
+
+    Of every ``window`` consecutive grams the one with the least hash is chosen (of equal ones the
+    last) and a text is cut at each chosen gram. Whether a place is cut depends on ``window - 1``
+    grams to either side, so where a string occurs, its bytes alone decide on the places from
+    ``lead`` on until ``tail`` before its end. ``window`` is so small that two cuts at least fall
+    into that stretch: the phrase from the first to the next occurs as often as the string.
+    """
 
     length: int = LENGTH
 
     @cached_property
     def gram(self) -> int:
-        """Bytes that choose a cut, from the cut on."""
-        return max(1, min(12, self.length // 10))
+        return max(1, min(8, self.length // 10))
 
     @cached_property
-    def reach(self) -> int:
-        """Two phrases of this many bytes and a gram fit into a string."""
-        return (self.length - self.gram) // 2
+    def window(self) -> int:
+        return (self.length - self.gram + 3) // 4
 
     @cached_property
-    def short(self) -> int:
-        return self.reach // 5
+    def lead(self) -> int:
+        return self.window - 1
 
     @cached_property
-    def long(self) -> int:
-        return self.reach - self.short
+    def tail(self) -> int:
+        return self.window + self.gram - 1
 
     @cached_property
-    def near(self) -> int:
-        """Strings that begin this close before a cut need more bytes after it."""
-        return self.length * 4 // 25
-
-    def _hashes(self, text: bytes) -> np.ndarray:
-        many, low = len(text) - self.gram + 1, min(8, self.gram)
-        padded = text + bytes(8)
-        view = lambda at: np.ndarray((many,), "<u8", padded, at, (1,))
-        mask = np.uint64((1 << 8 * low) - 1)
-        h = (view(0) & mask) * np.uint64(0x9E3779B97F4A7C15)
-        if self.gram > 8:
-            h ^= view(self.gram - 8) * np.uint64(0xC2B2AE3D27D4EB4F)
-        h ^= h >> np.uint64(31)
-        h *= np.uint64(0x94D049BB133111EB)
-        return h >> np.uint64(40)
-
-    def of(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """The cuts of a text and whether each is a first choice.
-
-        First choices are grams whose hash is a multiple of a number. ``long`` bytes after one (or
-        after the text's start) without another, multiples of a smaller number count too, and
-        ``short`` bytes after the last of these, every place does. So from any cut on, the further
-        ones depend on the bytes from it on only. From a string's start, the first cut that a
-        first choice, a second choice after ``long`` bytes, or a place after ``reach`` bytes
-        without either gives lies within ``reach`` bytes and is a cut wherever the string occurs;
-        so is the one after it, which lies within the string as well. The phrase between the two
-        occurs as often as the string.
-        """
-        none = np.zeros(0, np.int64), np.zeros(0, bool)
+    def compared(self) -> int:
+        """Bytes after a string's first sure cut, at most, in which further cuts are sure."""
+        return self.length - self.lead - self.tail
+
+    def of(self, text: bytes) -> np.ndarray:
+        """The cuts of a text; none if it is shorter than ``length``."""
         if len(text) < self.length:
-            return none
-        h = self._hashes(text)
-        end = len(h)
-        first = np.flatnonzero(h % np.uint64(max(2, self.long // 3)) == 0)
-        starts = np.concatenate(([0], first))
-        ends = np.concatenate((first, [end]))
-        parts = [first]
-        wide = np.flatnonzero(ends - starts > self.long)
-        if len(wide):
-            second = np.flatnonzero(h % np.uint64(max(1, self.short // 6)) == 0)
-            for a, b in zip(starts[wide].tolist(), ends[wide].tolist(), strict=True):
-                some = second[np.searchsorted(second, a + self.long) : np.searchsorted(second, b)]
-                parts.append(some)
-                marks = np.concatenate(([a + self.long], some, [b]))
-                for k in np.flatnonzero(np.diff(marks) > self.short).tolist():
-                    parts.append(np.arange(marks[k] + self.short, marks[k + 1]))
-        cuts = np.unique(np.concatenate(parts))
-        return cuts, np.isin(cuts, first, assume_unique=True)
+            return np.zeros(0, np.int64)
+        many = len(text) - self.gram + 1
+        h = np.ndarray((many,), "<u8", text + bytes(8), 0, (1,)) & np.uint64((1 << 8 * self.gram) - 1)
+        h = h * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+        h *= np.uint64(0x94D049BB133111EB)
+        # The place counts down in the low bits, so that the last of equal hashes is the least.
+        low = np.uint64(2**32 - 1)
+        least = (h & ~low) | (low - np.arange(many, dtype=np.uint64))
+        span = 1
+        while span < self.window:
+            step = min(span, self.window - span)
+            least = np.minimum(least[:-step], least[step:])
+            span += step
+        return np.unique((low - (least & low)).astype(np.int64))
 
 
 def _digest(data: bytes) -> int:
@@ -240,7 +219,7 @@ def _phrases(texts: DataFrame, cuts: Cuts) -> DataFrame:
         for batch in batches:
             for name, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 data = value.as_py()
-                at, _ = cuts.of(data)
+                at = cuts.of(data)
                 if len(at) < 2:
                     continue
                 spans = zip(at[:-1].tolist(), at[1:].tolist(), strict=True)
@@ -255,59 +234,51 @@ def _phrases(texts: DataFrame, cuts: Cuts) -> DataFrame:
 
 
 _ITEMS = pa.schema(
-    [("text", pa.int64()), ("at", pa.int64()), ("size", pa.int64()), ("around", pa.int64()), ("rank", pa.int64()), ("always", pa.bool_()),
-     ("own", pa.int64()), ("prefixes", pa.list_(pa.int64()))]
+    [("text", pa.int64()), ("first", pa.int64()), ("last", pa.int64()), ("around", pa.int64()), ("rank", pa.int64()),
+     ("core", pa.int64()), ("own", pa.int64()), ("prefixes", pa.list_(pa.int64()))]
 )
 
 
 def _items(texts: DataFrame, ranks: DataFrame, cuts: Cuts) -> DataFrame:
-    """One row for each cut that may belong to a repeated string.
+    """One row for each cut whose phrase occurs again and that is the first sure one of a string.
 
-    ``at`` is the cut and ``size`` the number of string starts that have it as their next cut;
-    ``around`` names all bytes of those strings. ``prefixes`` names the whole phrases after the
-    cut, one more each time; ``own`` is the last of them that a string surely holds.
+    Those strings start at ``first`` to ``last``; ``around`` names all their bytes and ``core``
+    those that each of them has, whatever the cut before. ``prefixes`` names the whole phrases
+    after the cut, one more each time; ``own`` is the last of them that all the strings have.
     """
-    by_text = ranks.groupBy("text").agg(F.array_sort(F.collect_list(F.struct("place", "rank"))).alias("ranks"))
-    length, reach = cuts.length, cuts.reach
+    by_text = ranks.groupBy("text").agg(F.collect_list(F.struct("place", "rank")).alias("ranks"))
+    length, lead, window = cuts.length, cuts.lead, cuts.window
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            rows = {f.name: [] for f in _ITEMS}
             for name, value, known in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
                 data = value.as_py()
-                at, chosen = cuts.of(data)
-                rank = np.full(len(at), -1, np.int64)
-                places = known.values
-                rank[places.field("place").to_numpy()] = places.field("rank").to_numpy()
-                held = rank >= 0
-                # A cut that is no first choice may be followed by the one that counts.
-                follows = np.flatnonzero(held)
-                after = np.searchsorted(follows, np.arange(len(at)))
-                near = np.zeros(len(at), bool)
-                ok = after < len(follows)
-                near[ok] = at[follows[after[ok]]] - at[ok] <= reach
-                before = np.concatenate(([-1], at[:-1]))
-                # A cut without a string that has it next still stands for its text among suffixes.
-                wanted = (held | (~chosen & near)) & (at - reach + length <= len(data))
-                rows = {f.name: [] for f in _ITEMS}
-                for k in np.flatnonzero(wanted).tolist():
-                    a, size = int(at[k]), int(at[k] - before[k])
-                    stop = a + length - (cuts.near if size <= cuts.near else reach) - cuts.gram
-                    last = int(np.searchsorted(at, a + length - cuts.gram, "right"))
-                    ends = at[k + 1 : last].tolist()
-                    prefixes = [_digest(data[a:e]) for e in ends]
-                    sure = int(np.searchsorted(at, stop, "right")) - k - 2
+                at = cuts.of(data)
+                places, ranks = (known.values.field(c).to_numpy() for c in ("place", "rank"))
+                firsts = np.concatenate(([0], np.maximum(at[:-1] - lead + 1, 0)))
+                lasts = np.minimum(at - lead, len(data) - length)
+                size = np.diff(at, prepend=-1)
+                # The sure cuts end ``tail`` before the end of the first string that has this one.
+                sure = np.searchsorted(at, at - lead - np.minimum(size, window) + 1 + length - cuts.tail, "right")
+                known_to = np.searchsorted(at, at + cuts.compared, "right")
+                some = firsts[places] <= lasts[places]
+                for k, rank in zip(places[some].tolist(), ranks[some].tolist(), strict=True):
+                    a, first, last = int(at[k]), int(firsts[k]), int(lasts[k])
+                    prefixes = [_digest(data[a:e]) for e in at[k + 1 : known_to[k]].tolist()]
                     rows["text"].append(name)
-                    rows["at"].append(a)
-                    rows["size"].append(size)
-                    rows["around"].append(_digest(data[a - size + 1 : a + length]))
-                    rows["rank"].append(int(rank[k]))
-                    rows["always"].append(not (chosen[k] and held[k] and sure >= 0))
-                    rows["own"].append(prefixes[sure] if sure >= 0 else 0)
+                    rows["first"].append(first)
+                    rows["last"].append(last)
+                    rows["around"].append(_digest(data[first : last + length]))
+                    rows["rank"].append(rank)
+                    rows["core"].append(_digest(data[a - lead : a - lead - window + 1 + length]))
+                    rows["own"].append(prefixes[sure[k] - k - 2])
                     rows["prefixes"].append(_signed(prefixes).to_pylist())
-                rows["around"], rows["own"] = _signed(rows["around"]), _signed(rows["own"])
-                yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(rows.values(), _ITEMS)], schema=_ITEMS)
+            for c in ("around", "core", "own"):
+                rows[c] = _signed(rows[c])
+            yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(rows.values(), _ITEMS)], schema=_ITEMS)
 
-    shape = "text long, at long, size long, around long, rank long, always boolean, own long, prefixes array<long>"
+    shape = "text long, first long, last long, around long, rank long, core long, own long, prefixes array<long>"
     return texts.join(by_text, "text").select("text", "data", "ranks").mapInArrow(make, shape)
 
 
@@ -339,8 +310,8 @@ def _meeting(contexts: DataFrame) -> DataFrame:
 
 
 def _starts(texts: DataFrame, contexts: DataFrame, length: int) -> DataFrame:
-    """(around, behind, string): each string that starts before a context's cut, and how far."""
-    by_text = contexts.groupBy("text").agg(F.collect_list(F.struct("at", "size", "around")).alias("found"))
+    """(around, behind, string): each string of a context, and how far in it starts."""
+    by_text = contexts.groupBy("text").agg(F.collect_list(F.struct("first", "last", "around")).alias("found"))
     shape = pa.schema([(c, pa.int64()) for c in ("around", "behind", "string")])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -355,12 +326,10 @@ def _starts(texts: DataFrame, contexts: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             for value, found in zip(batch.column(0), batch.column(1), strict=True):
                 data = value.as_py()
-                for at, size, around in zip(*(found.values.field(c).to_pylist() for c in ("at", "size", "around")), strict=True):
-                    first, last = at - size + 1, min(at, len(data) - length)
-                    if first <= last:
-                        names.append(around)
-                        places.append(at - np.arange(first, last + 1))
-                        strings.extend([_digest(data[s : s + length]) for s in range(first, last + 1)])
+                for first, last, around in zip(*(found.values.field(c).to_pylist() for c in ("first", "last", "around")), strict=True):
+                    names.append(around)
+                    places.append(np.arange(last - first + 1))
+                    strings.extend([_digest(data[s : s + length]) for s in range(first, last + 1)])
                     if len(strings) > 20_000:
                         yield rows()
         if strings:
@@ -374,7 +343,7 @@ _RESULT = pa.schema([("n_bytes", pa.int64()), ("spans", pa.list_(pa.struct([("st
 
 def _removed(docs: DataFrame, found: DataFrame, length: int) -> DataFrame:
     """Adds n_bytes, the removed spans and the kept bytes to every row with ``text`` and ``data``."""
-    by_text = found.groupBy("text").agg(F.collect_list(F.struct("at", "size", "whole", "behind")).alias("found"))
+    by_text = found.groupBy("text").agg(F.collect_list(F.struct("first", "last", "whole", "behind")).alias("found"))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -385,14 +354,11 @@ def _removed(docs: DataFrame, found: DataFrame, length: int) -> DataFrame:
                 steps = np.zeros(n + 1, np.int64)
                 if found.is_valid:
                     some = found.values
-                    at, size = (some.field(c).to_numpy() for c in ("at", "size"))
+                    first, last = (some.field(c).to_numpy() for c in ("first", "last"))
                     whole = some.field("whole").to_numpy(zero_copy_only=False)
-                    first, last = at - size + 1, np.minimum(at, n - length)
-                    whole_ones = whole & (first <= last)
-                    behind = [at[k] - some.field("behind")[k].values.to_numpy() for k in np.flatnonzero(~whole).tolist()]
-                    starts = np.concatenate([first[whole_ones], *behind])
-                    np.add.at(steps, starts, 1)
-                    np.add.at(steps, np.concatenate([last[whole_ones], *behind]) + length, -1)
+                    single = [first[k] + some.field("behind")[k].values.to_numpy() for k in np.flatnonzero(~whole).tolist()]
+                    np.add.at(steps, np.concatenate([first[whole], *single]), 1)
+                    np.add.at(steps, np.concatenate([last[whole], *single]) + length, -1)
                 gone = np.concatenate(([False], np.cumsum(steps)[:n] > 0, [False]))
                 edges = np.flatnonzero(gone[1:] != gone[:-1]).tolist()
                 spans = list(zip(edges[::2], edges[1::2], strict=True))
@@ -421,25 +387,22 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     rows = stored(docs.select(F.monotonically_increasing_id().alias("text"), F.col(key).alias("key"), data.alias("data")), "suffix_texts")
     texts = rows.filter(F.length("data") >= length).select("text", "data")
     phrases = _phrases(texts, cuts).withColumn("more", F.lit(True))
-    ranks = suffix_ranks(phrases, length)
+    ranks = suffix_ranks(phrases, cuts.compared)
     items = stored(_items(texts, ranks, cuts), "suffix_items")
 
     # Equal surroundings are one context; one that occurs twice is repeated as a whole.
-    contexts = stored(
-        items.groupBy("around").agg(
-            F.count(F.lit(1)).alias("n"), F.max("always").alias("always"), F.min(F.struct("rank", "text", "at", "size", "own", "prefixes")).alias("one")
-        ).select("around", "n", "always", "one.*"),
-        "suffix_contexts",
-    )
-    # Contexts whose own cut may not be the one that counts are looked at in any case.
-    meeting = _meeting(contexts.filter("rank >= 0")).filter("NOT always").union(contexts.filter("always"))
+    one = F.min(F.struct("rank", "text", "first", "last", "core", "own", "prefixes")).alias("one")
+    contexts = stored(items.groupBy("around").agg(F.count(F.lit(1)).alias("n"), one).select("around", "n", "one.*"), "suffix_contexts")
+    # Of suffixes that meet, those are looked at whose strings have the same bytes in common.
+    alike = F.count(F.lit(1)).over(W.partitionBy("core"))
+    meeting = _meeting(contexts).drop("own", "prefixes").withColumn("alike", alike).filter("alike > 1")
     starts = _starts(texts, meeting, length)
     same = W.partitionBy("string")
     twice = starts.withColumn("n", F.count(F.lit(1)).over(same)).filter("n > 1")
     behind = twice.groupBy("around").agg(F.collect_list("behind").alias("behind"))
     whole = contexts.filter("n > 1").select("around", F.lit(True).alias("whole"), F.lit(None).cast("array<long>").alias("behind"))
     single = behind.join(contexts.filter("n = 1").select("around"), "around").select("around", F.lit(False).alias("whole"), "behind")
-    found = items.select("around", "text", "at", "size").join(whole.union(single), "around")
+    found = items.select("around", "text", "first", "last").join(whole.union(single), "around")
     return _removed(rows, stored(found.drop("around"), "suffix_found"), length).withColumnRenamed("key", key)
 
 
