@@ -1,16 +1,17 @@
 """Removal of byte strings that occur more than once, by a distributed suffix array.
 
-Suffixes are sorted by the difference-cover algorithm over a parse of the texts. A text is cut
-into phrases at places that its own bytes choose, so equal strings are cut alike; a phrase is one
-symbol, and phrases that occur once in all texts end a string of symbols, since no repeated
-string holds them. ``suffix_ranks`` sorts the triples of symbols at two of three places, recurses
-on their ranks until these differ or reach over ``length`` bytes, and merges the remaining
-suffixes by (symbol, rank of the next) pairs.
+A text is cut into phrases at places that its own bytes choose, so equal strings are cut alike;
+a phrase is one symbol. Cuts whose surroundings occur once in all texts belong to no repeated
+string and are left out, but for those that follow another one. ``suffix_ranks`` sorts the
+suffixes of the rest by the difference-cover algorithm: it sorts the triples of symbols at two of
+three places, recurses on their ranks until these differ or reach over enough bytes, and merges
+the remaining suffixes by (symbol, rank of the next) pairs. Ranks that are final are not carried
+into the recursion.
 
 Then prefixes of adjacent suffixes are compared. Suffixes that share enough whole phrases with a
 neighbour may begin a repeated string; their surroundings are merged where they are equal, and
 where several different ones meet, each start of a string between two cuts is decided on its own
-bytes. ``Cuts.of`` says why no repeated string is lost.
+bytes. ``Cuts`` says why no repeated string is lost.
 """
 
 from __future__ import annotations
@@ -65,6 +66,11 @@ class Cuts:
         """Bytes after a string's first sure cut, at most, in which further cuts are sure."""
         return self.length - self.lead - self.tail
 
+    @cached_property
+    def core(self) -> int:
+        """Bytes from ``lead`` before a cut on that every string with that first sure cut has."""
+        return self.length - self.window + 1
+
     def of(self, text: bytes) -> np.ndarray:
         """The cuts of a text; none if it is shorter than ``length``."""
         if len(text) < self.length:
@@ -100,7 +106,7 @@ def _signed(values: list[int]) -> pa.Array:
 
 def _counted(rows: DataFrame, keys: list[str], marked: Column, purpose: str) -> DataFrame:
     """Adds ``before``, how many rows are smaller by ``keys``, ``marks_before``, how many of those
-    are marked, and ``again``, whether the row before in order is equal. Stored.
+    are marked, and ``tied``, whether a neighbour in order is equal. Stored.
 
     Rows are sorted by ranges; a task counts within its range, and the ranges' sizes (one row a
     range) give the rest. Keys are longs and not null.
@@ -109,7 +115,7 @@ def _counted(rows: DataFrame, keys: list[str], marked: Column, purpose: str) ->
     shape = ranged.schema
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, here, marks, at_rows, at_marks = None, 0, 0, 0, 0
+        held, last, here, marks, at_rows, at_marks = None, None, 0, 0, 0, 0
         for batch in batches:
             n = batch.num_rows
             if not n:
@@ -124,15 +130,22 @@ def _counted(rows: DataFrame, keys: list[str], marked: Column, purpose: str) ->
             sums = np.concatenate(([0], np.cumsum(marked)))
             before = np.where(latest < 0, at_rows, here + latest)
             marks_before = np.where(latest < 0, at_marks, marks + sums[latest])
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(before), pa.array(marks_before), pa.array(~new)],
-                [*batch.schema.names, "before", "marks_before", "again"],
-            )
+            if held is not None:  # the last row before, which did not know its neighbour
+                yield with_columns(held[0], *held[1:3], held[3] | ~new[:1])
+            tied = ~new
+            tied[:-1] |= ~new[1:]
+            yield with_columns(batch.slice(0, n - 1), before[:-1], marks_before[:-1], tied[:-1])
+            held = batch.slice(n - 1), before[-1:], marks_before[-1:], tied[-1:]
             last, at_rows, at_marks = values[:, -1], int(before[-1]), int(marks_before[-1])
             here, marks = here + n, marks + int(sums[-1])
+        if held is not None:
+            yield with_columns(*held)
+
+    def with_columns(batch: pa.RecordBatch, *added: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, added)], [*batch.schema.names, "before", "marks_before", "tied"])
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in shape.fields)
-    local = ranged.mapInArrow(count, f"{fields}, before long, marks_before long, again boolean")
+    local = ranged.mapInArrow(count, f"{fields}, before long, marks_before long, tied boolean")
     kept = stored(local.withColumn("part", F.spark_partition_id()), purpose)
     sizes = kept.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum("marked").alias("m"))
     earlier = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)  # one row a range
@@ -144,12 +157,13 @@ def _counted(rows: DataFrame, keys: list[str], marked: Column, purpose: str) ->
     )
 
 
-def suffix_ranks(symbols: DataFrame, length: int) -> DataFrame:
+def suffix_ranks(symbols: DataFrame, length: int, bound: int = 1 << 40) -> DataFrame:
     """(text, place, rank) of every suffix: how many suffixes are smaller.
 
     ``symbols`` has text, place, symbol (all long), size (bytes of the symbol) and more, whether
     the string goes on at place + 1. Suffixes that agree over ``length`` bytes or to their ends
-    may get equal ranks. Each level of the recursion holds two thirds of the one before.
+    may get equal ranks. Each level of the recursion holds two thirds of the one before at most.
+    Places are below ``bound``.
     """
     within = W.partitionBy("text").orderBy("place")
     goes_on = F.col("more") & (F.lead("place").over(within) == F.col("place") + 1)
@@ -170,17 +184,24 @@ def suffix_ranks(symbols: DataFrame, length: int) -> DataFrame:
     third = F.col("place") % 3
     sampled = triples.filter(third != 0).select("text", "place", "symbol", "next", "third", "size", (F.col("whole") & F.coalesce("on_2", F.lit(False))).alias("open"))
     named = _counted(sampled, ["symbol", "next", "third"], F.lit(0), "suffix_names")
-    alike = named.filter(F.col("again") & F.col("open") & (F.col("size") < length))
-    if alike.isEmpty():
+    undecided = F.col("tied") & (F.col("size") < length)
+    if named.filter(undecided & F.col("open")).isEmpty():
         ranks = named.select("text", "place", F.col("before").alias("rank"))
     else:
+        # Only tied ranks are carried on, each with the final one after it, where comparisons end.
         inner = named.select(
-            (F.col("text") * 2 + third - 1).alias("text"), F.expr("place div 3").alias("place"),
-            F.col("before").alias("symbol"), "size", F.col("open").alias("more"),
+            "text", (F.expr("place div 3") + F.when(third == 2, bound).otherwise(0)).alias("place"), F.col("before").alias("symbol"), "size",
+            undecided.alias("going"), (undecided & F.col("open")).alias("more"),
         )
-        found = suffix_ranks(inner, length)
-        ranks = found.select(
-            F.shiftright("text", 1).alias("text"), (F.col("place") * 3 + 1 + F.col("text") % 2).alias("place"), "rank"
+        follows = F.coalesce(F.lag("more").over(within) & (F.lag("place").over(within) == F.col("place") - 1), F.lit(False))
+        inner = stored(inner.withColumn("follows", follows).filter(F.col("going") | F.col("follows")).drop("follows"), "suffix_inner")
+        found = suffix_ranks(inner.drop("going"), length, 2 * bound).withColumnRenamed("rank", "within")
+        found = found.join(inner.filter("going").select("text", "place", F.col("symbol").alias("before")), ["text", "place"])
+        found = found.withColumn("within", F.col("within") - F.min("within").over(W.partitionBy("before")))
+        place = F.when(F.col("place") < bound, F.col("place") * 3 + 1).otherwise((F.col("place") - bound) * 3 + 2)
+        found = found.select("text", place.alias("place"), "within")
+        ranks = named.join(found, ["text", "place"], "left").select(
+            "text", "place", (F.col("before") + F.coalesce("within", F.lit(0))).alias("rank")
         )
 
     joined = triples.select("text", "place", "symbol", "next", "on", "whole").join(ranks, ["text", "place"], "left")
@@ -211,75 +232,93 @@ def suffix_ranks(symbols: DataFrame, length: int) -> DataFrame:
 # ---- from suffixes to bytes --------------------------------------------------------------
 
 
-def _phrases(texts: DataFrame, cuts: Cuts) -> DataFrame:
-    """(text, place, symbol, size) of the phrases that occur at least twice."""
-    shape = pa.schema([(c, pa.int64()) for c in ("text", "place", "symbol", "size")])
+def _shared(texts: DataFrame, cuts: Cuts) -> DataFrame:
+    """(text, place) of the cuts whose core, the bytes all their strings have, occurs again."""
+    shape = pa.schema([(c, pa.int64()) for c in ("text", "place", "core")])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            names, places, cores = [], [], []
             for name, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 data = value.as_py()
                 at = cuts.of(data)
-                if len(at) < 2:
-                    continue
-                spans = zip(at[:-1].tolist(), at[1:].tolist(), strict=True)
-                symbols = np.array([_digest(data[a:b]) >> 1 for a, b in spans], np.int64)  # never negative
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(symbols), name)), pa.array(np.arange(len(symbols))), pa.array(symbols), pa.array(np.diff(at))], schema=shape
-                )
+                some = np.flatnonzero((at >= cuts.lead) & (at + cuts.compared <= len(data)))
+                names.append(np.full(len(some), name))
+                places.append(some)
+                cores.extend([_digest(data[a : a + cuts.core]) for a in (at[some] - cuts.lead).tolist()])
+            if cores:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(names)), pa.array(np.concatenate(places)), _signed(cores)], schema=shape)
 
-    found = texts.mapInArrow(cut, "text long, place long, symbol long, size long")
-    same = W.partitionBy("symbol")
-    return found.withColumn("n", F.count(F.lit(1)).over(same)).filter("n > 1").drop("n")
+    found = texts.mapInArrow(cut, "text long, place long, core long")
+    same = W.partitionBy("core")
+    return found.withColumn("n", F.count(F.lit(1)).over(same)).filter("n > 1").select("text", "place").distinct()
 
 
 _ITEMS = pa.schema(
-    [("text", pa.int64()), ("first", pa.int64()), ("last", pa.int64()), ("around", pa.int64()), ("rank", pa.int64()),
-     ("core", pa.int64()), ("own", pa.int64()), ("prefixes", pa.list_(pa.int64()))]
+    [("text", pa.int64()), ("place", pa.int64()), ("symbol", pa.int64()), ("size", pa.int64()), ("copies", pa.int64()),
+     ("first", pa.int64()), ("last", pa.int64()), ("around", pa.int64()), ("core", pa.int64()),
+     ("own", pa.int32()), ("prefixes", pa.list_(pa.int32()))]
 )
 
 
-def _items(texts: DataFrame, ranks: DataFrame, cuts: Cuts) -> DataFrame:
-    """One row for each cut whose phrase occurs again and that is the first sure one of a string.
+def _items(texts: DataFrame, shared: DataFrame, cuts: Cuts) -> DataFrame:
+    """One row for each shared cut, and for those near after one: its phrase as a symbol.
 
-    Those strings start at ``first`` to ``last``; ``around`` names all their bytes and ``core``
-    those that each of them has, whatever the cut before. ``prefixes`` names the whole phrases
-    after the cut, one more each time; ``own`` is the last of them that all the strings have.
+    A shared cut is the first sure one of the strings that start at ``first`` to ``last`` (null for
+    other cuts); ``around`` names all their bytes and ``core`` those that each of them has.
+    ``prefixes`` names the whole phrases after the cut, one more each time; ``own`` is the last of
+    them that all the strings have.
     """
-    by_text = ranks.groupBy("text").agg(F.collect_list(F.struct("place", "rank")).alias("ranks"))
-    length, lead, window = cuts.length, cuts.lead, cuts.window
+    by_text = shared.groupBy("text").agg(F.collect_list("place").alias("places"))
+    length, lead = cuts.length, cuts.lead
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = {f.name: [] for f in _ITEMS}
-            for name, value, known in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+            held, ends = [], [0]
+            for name, value, copies, known in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), batch.column(3), strict=True):
                 data = value.as_py()
                 at = cuts.of(data)
-                places, ranks = (known.values.field(c).to_numpy() for c in ("place", "rank"))
+                stops = np.append(at[1:], len(data))
                 firsts = np.concatenate(([0], np.maximum(at[:-1] - lead + 1, 0)))
                 lasts = np.minimum(at - lead, len(data) - length)
-                size = np.diff(at, prepend=-1)
                 # The sure cuts end ``tail`` before the end of the first string that has this one.
-                sure = np.searchsorted(at, at - lead - np.minimum(size, window) + 1 + length - cuts.tail, "right")
+                sure = np.searchsorted(at, np.minimum(at - lead, firsts) + length - cuts.tail, "right")
                 known_to = np.searchsorted(at, at + cuts.compared, "right")
-                some = firsts[places] <= lasts[places]
-                for k, rank in zip(places[some].tolist(), ranks[some].tolist(), strict=True):
-                    a, first, last = int(at[k]), int(firsts[k]), int(lasts[k])
-                    prefixes = [_digest(data[a:e]) for e in at[k + 1 : known_to[k]].tolist()]
+                own = np.zeros(len(at), bool)
+                own[known.values.to_numpy()] = True
+                own &= firsts <= lasts
+                steps = np.zeros(len(at) + 1, np.int64)
+                np.add.at(steps, np.flatnonzero(own), 1)
+                np.add.at(steps, known_to[own], -1)
+                for k in np.flatnonzero(np.cumsum(steps)[:-1] > 0).tolist():
+                    a, stop = int(at[k]), int(stops[k])
                     rows["text"].append(name)
+                    rows["place"].append(k)
+                    rows["symbol"].append(_digest(data[a:stop]) >> 1)  # never negative
+                    rows["size"].append(stop - a)
+                    rows["copies"].append(copies)
+                    if not own[k]:
+                        for c in ("first", "last", "around", "core", "own"):
+                            rows[c].append(None)
+                        ends.append(len(held))
+                        continue
+                    first, last = int(firsts[k]), int(lasts[k])
+                    prefixes = [_digest(data[a:e]) >> 33 for e in at[k + 1 : known_to[k]].tolist()]
                     rows["first"].append(first)
                     rows["last"].append(last)
-                    rows["around"].append(_digest(data[first : last + length]))
-                    rows["rank"].append(rank)
-                    rows["core"].append(_digest(data[a - lead : a - lead - window + 1 + length]))
+                    rows["around"].append(_digest(data[first : last + length]) - 2**63)
+                    rows["core"].append(_digest(data[a - lead : a - lead + cuts.core]) - 2**63)
                     rows["own"].append(prefixes[sure[k] - k - 2])
-                    rows["prefixes"].append(_signed(prefixes).to_pylist())
-            for c in ("around", "core", "own"):
-                rows[c] = _signed(rows[c])
+                    held.extend(prefixes)
+                    ends.append(len(held))
+            rows["prefixes"] = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(held, pa.int32()))
             yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(rows.values(), _ITEMS)], schema=_ITEMS)
 
-    shape = "text long, first long, last long, around long, rank long, core long, own long, prefixes array<long>"
-    return texts.join(by_text, "text").select("text", "data", "ranks").mapInArrow(make, shape)
+    shape = (
+        "text long, place long, symbol long, size long, copies long, first long, last long, around long, core long, own int, prefixes array<int>"
+    )
+    return texts.join(by_text, "text").select("text", "data", "copies", "places").mapInArrow(make, shape)
 
 
 def _meeting(contexts: DataFrame) -> DataFrame:
@@ -384,25 +423,26 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     """
     cuts = Cuts(length)
     data = F.coalesce(F.col(text).cast("binary"), F.lit(b""))
-    rows = stored(docs.select(F.monotonically_increasing_id().alias("text"), F.col(key).alias("key"), data.alias("data")), "suffix_texts")
+    rows = docs.select(F.col(key).alias("key"), data.alias("data")).withColumn("text", F.xxhash64("data"))
     texts = rows.filter(F.length("data") >= length).select("text", "data")
-    phrases = _phrases(texts, cuts).withColumn("more", F.lit(True))
-    ranks = suffix_ranks(phrases, cuts.compared)
-    items = stored(_items(texts, ranks, cuts), "suffix_items")
+    once = texts.groupBy("text").agg(F.first("data").alias("data"), F.count(F.lit(1)).alias("copies"))
+    items = stored(_items(once, _shared(texts, cuts), cuts), "suffix_items")
+    ranks = suffix_ranks(items.select("text", "place", "symbol", "size", F.lit(True).alias("more")), cuts.compared)
 
     # Equal surroundings are one context; one that occurs twice is repeated as a whole.
     one = F.min(F.struct("rank", "text", "first", "last", "core", "own", "prefixes")).alias("one")
-    contexts = stored(items.groupBy("around").agg(F.count(F.lit(1)).alias("n"), one).select("around", "n", "one.*"), "suffix_contexts")
+    ranked = items.filter("around IS NOT NULL").drop("symbol", "size").join(ranks, ["text", "place"])
+    contexts = stored(ranked.groupBy("around").agg(F.sum("copies").alias("n"), one).select("around", "n", "one.*"), "suffix_contexts")
     # Of suffixes that meet, those are looked at whose strings have the same bytes in common.
     alike = F.count(F.lit(1)).over(W.partitionBy("core"))
     meeting = _meeting(contexts).drop("own", "prefixes").withColumn("alike", alike).filter("alike > 1")
-    starts = _starts(texts, meeting, length)
+    starts = _starts(once, meeting, length)
     same = W.partitionBy("string")
     twice = starts.withColumn("n", F.count(F.lit(1)).over(same)).filter("n > 1")
     behind = twice.groupBy("around").agg(F.collect_list("behind").alias("behind"))
     whole = contexts.filter("n > 1").select("around", F.lit(True).alias("whole"), F.lit(None).cast("array<long>").alias("behind"))
     single = behind.join(contexts.filter("n = 1").select("around"), "around").select("around", F.lit(False).alias("whole"), "behind")
-    found = items.select("around", "text", "first", "last").join(whole.union(single), "around")
+    found = items.filter("around IS NOT NULL").select("around", "text", "first", "last").join(whole.union(single), "around")
     return _removed(rows, stored(found.drop("around"), "suffix_found"), length).withColumnRenamed("key", key)
 
 
