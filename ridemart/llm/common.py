@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -39,6 +40,21 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def releasing_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a query go as soon as it ends, not when the driver next collects garbage.
+
+    For jobs whose every result is stored: nothing reads their shuffles again.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def numbered(
     df: DataFrame,
     groups: Sequence[str],

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ridemart.llm.common import stored
+from ridemart.llm.common import releasing_shuffles, stored
 
 #: Bytes of a string that has to occur twice.
 LENGTH = 400
@@ -104,9 +104,9 @@ def _signed(values: list[int]) -> pa.Array:
 # ---- sorting suffixes --------------------------------------------------------------------
 
 
-def _counted(rows: DataFrame, keys: list[str], marked: Column, purpose: str) -> DataFrame:
+def _counted(rows: DataFrame, keys: list[str], marked: Column, keep: list[str], purpose: str) -> DataFrame:
     """Adds ``before``, how many rows are smaller by ``keys``, ``marks_before``, how many of those
-    are marked, and ``tied``, whether a neighbour in order is equal. Stored.
+    are marked, and ``tied``, whether a neighbour in order is equal, to the columns ``keep``. Stored.
 
     Rows are sorted by ranges; a task counts within its range, and the ranges' sizes (one row a
     range) give the rest. Keys are longs and not null.
@@ -146,6 +146,7 @@ def _counted(rows: DataFrame, keys: list[str], marked: Column, purpose: str) ->
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in shape.fields)
     local = ranged.mapInArrow(count, f"{fields}, before long, marks_before long, tied boolean")
+    local = local.select(*keep, "marked", "before", "marks_before", "tied")
     kept = stored(local.withColumn("part", F.spark_partition_id()), purpose)
     sizes = kept.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum("marked").alias("m"))
     earlier = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)  # one row a range
@@ -183,7 +184,7 @@ def suffix_ranks(symbols: DataFrame, length: int, bound: int = 1 << 40) -> DataF
 
     third = F.col("place") % 3
     sampled = triples.filter(third != 0).select("text", "place", "symbol", "next", "third", "size", (F.col("whole") & F.coalesce("on_2", F.lit(False))).alias("open"))
-    named = _counted(sampled, ["symbol", "next", "third"], F.lit(0), "suffix_names")
+    named = _counted(sampled, ["symbol", "next", "third"], F.lit(0), ["text", "place", "size", "open"], "suffix_names")
     undecided = F.col("tied") & (F.col("size") < length)
     if named.filter(undecided & F.col("open")).isEmpty():
         ranks = named.select("text", "place", F.col("before").alias("rank"))
@@ -216,7 +217,7 @@ def suffix_ranks(symbols: DataFrame, length: int, bound: int = 1 << 40) -> DataF
     two = F.struct(F.lit(1).cast("long").alias("side"), F.col("symbol").alias("x"), F.col("next").alias("y"), F.col("rank_2").alias("z"))
     lists = F.when(third == 0, F.array(one, two)).when(third == 1, F.array(one)).otherwise(F.array(two))
     entries = joined.select("text", "place", "rank", F.inline(lists))
-    counted = _counted(entries, ["side", "x", "y", "z"], (third == 0), "suffix_merge")
+    counted = _counted(entries, ["side", "x", "y", "z"], (third == 0), ["text", "place", "rank", "side"], "suffix_merge")
     in_list = counted.filter("side = 0").agg(F.count(F.lit(1)).alias("rows_0"), F.sum((third == 0).cast("long")).alias("marks_0"))
     first_of_two = counted.crossJoin(F.broadcast(in_list))  # one row
     smaller = F.col("before") - F.when(F.col("side") == 1, F.col("rows_0")).otherwise(0)
@@ -274,8 +275,7 @@ def _items(texts: DataFrame, shared: DataFrame, cuts: Cuts) -> DataFrame:
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = {f.name: [] for f in _ITEMS}
-            held, ends = [], [0]
+            parts: dict[str, list] = {f.name: [] for f in _ITEMS}
             for name, value, copies, known in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), batch.column(3), strict=True):
                 data = value.as_py()
                 at = cuts.of(data)
@@ -291,29 +291,37 @@ def _items(texts: DataFrame, shared: DataFrame, cuts: Cuts) -> DataFrame:
                 steps = np.zeros(len(at) + 1, np.int64)
                 np.add.at(steps, np.flatnonzero(own), 1)
                 np.add.at(steps, known_to[own], -1)
-                for k in np.flatnonzero(np.cumsum(steps)[:-1] > 0).tolist():
-                    a, stop = int(at[k]), int(stops[k])
-                    rows["text"].append(name)
-                    rows["place"].append(k)
-                    rows["symbol"].append(_digest(data[a:stop]) >> 1)  # never negative
-                    rows["size"].append(stop - a)
-                    rows["copies"].append(copies)
-                    if not own[k]:
-                        for c in ("first", "last", "around", "core", "own"):
-                            rows[c].append(None)
-                        ends.append(len(held))
-                        continue
-                    first, last = int(firsts[k]), int(lasts[k])
-                    prefixes = [_digest(data[a:e]) >> 33 for e in at[k + 1 : known_to[k]].tolist()]
-                    rows["first"].append(first)
-                    rows["last"].append(last)
-                    rows["around"].append(_digest(data[first : last + length]) - 2**63)
-                    rows["core"].append(_digest(data[a - lead : a - lead + cuts.core]) - 2**63)
-                    rows["own"].append(prefixes[sure[k] - k - 2])
-                    held.extend(prefixes)
-                    ends.append(len(held))
-            rows["prefixes"] = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(held, pa.int32()))
-            yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(rows.values(), _ITEMS)], schema=_ITEMS)
+                ks = np.flatnonzero(np.cumsum(steps)[:-1] > 0)
+                mine = own[ks]
+                shared = ks[mine]
+
+                def digests(begins: np.ndarray, ends: np.ndarray, data: bytes = data) -> np.ndarray:
+                    return np.array([_digest(data[a:b]) for a, b in zip(begins.tolist(), ends.tolist(), strict=True)], np.uint64)
+
+                def nullable(values: np.ndarray, mine: np.ndarray = mine) -> pa.Array:
+                    whole = np.zeros(len(mine), values.dtype)
+                    whole[mine] = values
+                    return pa.array(whole, mask=~mine)
+
+                many = known_to[shared] - shared - 1
+                before = np.cumsum(many) - many  # the place of each cut's first prefix among all
+                within = np.arange(many.sum()) - np.repeat(before, many)
+                prefixes = (digests(np.repeat(at[shared], many), at[np.repeat(shared + 1, many) + within]) >> np.uint64(33)).astype(np.int32)
+                sizes = np.zeros(len(ks), np.int64)
+                sizes[mine] = many
+                columns = {
+                    "text": np.full(len(ks), name), "place": ks, "size": stops[ks] - at[ks], "copies": np.full(len(ks), copies),
+                    "symbol": (digests(at[ks], stops[ks]) >> np.uint64(1)).astype(np.int64),  # never negative
+                    "first": nullable(firsts[shared]), "last": nullable(lasts[shared]),
+                    "around": nullable(digests(firsts[shared], lasts[shared] + length).view(np.int64)),
+                    "core": nullable(digests(at[shared] - lead, at[shared] - lead + cuts.core).view(np.int64)),
+                    "own": nullable(prefixes[before + sure[shared] - shared - 2]),
+                    "prefixes": pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), pa.array(prefixes)),
+                }
+                for c, values in columns.items():
+                    parts[c].append(values if isinstance(values, pa.Array) else pa.array(values))
+            if parts["text"]:
+                yield pa.RecordBatch.from_arrays([pa.concat_arrays(p) for p in parts.values()], schema=_ITEMS)
 
     shape = (
         "text long, place long, symbol long, size long, copies long, first long, last long, around long, core long, own int, prefixes array<int>"
@@ -412,19 +420,8 @@ def _removed(docs: DataFrame, found: DataFrame, length: int) -> DataFrame:
     return joined.mapInArrow(remove, f"key {kind}, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")
 
 
-def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
-    """One row (key, n_bytes, spans, kept) for each document.
-
-    Every byte of a text's UTF-8 form that lies in a string of ``length`` bytes which also starts
-    anywhere else, in the same text or another, is removed; ``spans`` are the maximal stretches
-    removed and ``kept`` the bytes left. Null texts are empty. Equal rows are separate documents,
-    so their texts of ``length`` bytes or more go entirely. Keys may be null or repeated; an empty
-    table gives an empty table. Columns other than key and text are not read, so none can clash.
-    """
-    cuts = Cuts(length)
-    data = F.coalesce(F.col(text).cast("binary"), F.lit(b""))
-    rows = docs.select(F.col(key).alias("key"), data.alias("data")).withColumn("text", F.xxhash64("data"))
-    texts = rows.filter(F.length("data") >= length).select("text", "data")
+def _found(texts: DataFrame, cuts: Cuts) -> DataFrame:
+    """(text, first, last, whole, behind): where in which text repeated strings start. Stored."""
     once = texts.groupBy("text").agg(F.first("data").alias("data"), F.count(F.lit(1)).alias("copies"))
     items = stored(_items(once, _shared(texts, cuts), cuts), "suffix_items")
     ranks = suffix_ranks(items.select("text", "place", "symbol", "size", F.lit(True).alias("more")), cuts.compared)
@@ -436,14 +433,30 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     # Of suffixes that meet, those are looked at whose strings have the same bytes in common.
     alike = F.count(F.lit(1)).over(W.partitionBy("core"))
     meeting = _meeting(contexts).drop("own", "prefixes").withColumn("alike", alike).filter("alike > 1")
-    starts = _starts(once, meeting, length)
+    starts = _starts(once, meeting, cuts.length)
     same = W.partitionBy("string")
     twice = starts.withColumn("n", F.count(F.lit(1)).over(same)).filter("n > 1")
     behind = twice.groupBy("around").agg(F.collect_list("behind").alias("behind"))
     whole = contexts.filter("n > 1").select("around", F.lit(True).alias("whole"), F.lit(None).cast("array<long>").alias("behind"))
     single = behind.join(contexts.filter("n = 1").select("around"), "around").select("around", F.lit(False).alias("whole"), "behind")
     found = items.filter("around IS NOT NULL").select("around", "text", "first", "last").join(whole.union(single), "around")
-    return _removed(rows, stored(found.drop("around"), "suffix_found"), length).withColumnRenamed("key", key)
+    return stored(found.drop("around"), "suffix_found")
+
+
+def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
+    """One row (key, n_bytes, spans, kept) for each document.
+
+    Every byte of a text's UTF-8 form that lies in a string of ``length`` bytes which also starts
+    anywhere else, in the same text or another, is removed; ``spans`` are the maximal stretches
+    removed and ``kept`` the bytes left. Null texts are empty. Equal rows are separate documents,
+    so their texts of ``length`` bytes or more go entirely. Keys may be null or repeated; an empty
+    table gives an empty table. Columns other than key and text are not read, so none can clash.
+    """
+    data = F.coalesce(F.col(text).cast("binary"), F.lit(b""))
+    rows = docs.select(F.col(key).alias("key"), data.alias("data")).withColumn("text", F.xxhash64("data"))
+    with releasing_shuffles(docs.sparkSession):
+        found = _found(rows.filter(F.length("data") >= length).select("text", "data"), Cuts(length))
+    return _removed(rows, found, length).withColumnRenamed("key", key)
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:
