@@ -9,7 +9,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from ridemart.operators.profile import numeric_summary
-from ridemart.operators.quantiles import approximate_quantiles, summarise
+from ridemart.operators import quantiles
+from ridemart.operators.quantiles import Bracket, approximate_quantiles, located, sketched, summarise
 
 POINTS = {"p00": 0.0, "p01": 0.01, "p25": 0.25, "p50": 0.5, "p99": 0.99, "p100": 1.0}
 
@@ -80,11 +81,35 @@ def test_empty_input_gives_one_row_per_metric(spark):
     assert [(r["metric"], r["count"], r["median"]) for r in rows] == [("x", 0, None)]
 
 
-def test_no_values_are_shuffled_before_bins_are_chosen(spark, inputs):
-    df = summarise(inputs.table("lineitem"), {"p": "l_extendedprice"}, {"p50": 0.5})
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    by_value = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "value#" in line]
-    assert by_value and all("slice_1" in line for line in by_value)
+def test_two_scans_and_only_values_inside_brackets_are_shuffled(spark, inputs):
+    wide = inputs.table("lineitem").select(F.col("l_extendedprice").alias("p"))
+    first = sketched(wide, [0.5], 0.01)
+    low, high = (first.first()["m0"][side][0] for side in ("low", "high"))
+    inside = wide.filter(F.col("p").between(low, high)).count()
+    assert 0 < inside < 0.05 * wide.count()
+    second = located(wide, {"p": [Bracket(low, high)]}, {"p": [wide.count() // 2]}, {"p": (0.0, 1e6)})
+    second.collect()
+    final = second._jdf.queryExecution().executedPlan().toString()
+    final = final.split("Initial Plan")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final
+
+
+def test_a_bracket_that_misses_widens(spark, monkeypatch):
+    rng = random.Random(6)
+    values = [rng.lognormvariate(2, 1) for _ in range(3000)] + [rng.uniform(-9, 9) for _ in range(500)]
+    passes = []
+    real = quantiles.located
+    monkeypatch.setattr(quantiles, "located", lambda *a: passes.append(a[1]) or real(*a))
+    for wrong in (Bracket(2.0, 2.0), Bracket(100.0, 101.0), Bracket(-math.inf, -math.inf)):
+        passes.clear()
+        monkeypatch.setattr(quantiles, "_first_brackets", lambda row, shares, errors: [wrong for _ in shares])
+        check(summarise(frame(spark, values), {"x": "x"}, POINTS).first(), values)
+        assert 1 < len(passes) < 8
+
+
+def test_brackets_merge_and_open_ends():
+    assert quantiles.merged([Bracket(3, 5), Bracket(1, 2), Bracket(4, 9), Bracket(None, 0)]) == [Bracket(None, 0), Bracket(1, 2), Bracket(3, 9)]
+    assert quantiles.merged([Bracket(3, None), Bracket(4, 5)]) == [Bracket(3, None)]
 
 
 def test_deviation_of_offset_columns(spark):
