@@ -112,5 +112,8 @@ STATEMENTS = {
     "stg_trips": over("stg", body="SELECT * FROM stg"),
     "mart_csv_roundtrip": over("daily", body="SELECT * FROM daily"),
     "pipeline_run": over("daily", body="SELECT * FROM daily"),
+    "pipeline_rerun": over("daily", body="SELECT * FROM daily WHERE month(trip_date) <> 2"),
+    "daily_by_months": over("daily", body="SELECT * FROM daily"),
+    "hourly_by_months": over("hourly", body="SELECT * FROM hourly"),
     "ingest_new": over("raw", body="SELECT * FROM raw"),
 }

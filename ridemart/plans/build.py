@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ridemart.operators import cleaning, marts
 from ridemart.operators.columns import TripColumns, Window
-from ridemart.sources.marts import write_parquet
+from ridemart.operators.states import daily_from_states, daily_states, hourly_from_states, hourly_states
+from ridemart.sources.marts import drop_partitions, read_parquet, stored_partitions, write_parquet
 from ridemart.sources.trips import read_trips
 
 
+YEAR, MONTH = "pickup_year", "pickup_month"
+DAILY, HOURLY = "mart_daily_summary", "mart_hourly_patterns"
+
+
 @dataclass(frozen=True)
 class Tables:
     cleaned: DataFrame
@@ -34,24 +42,70 @@ def derive_from_clean(cleaned: DataFrame, at: TripColumns = TripColumns()) -> Ta
     return Tables(cleaned, stg, marts.daily_summary(stg), marts.hourly_patterns(stg))
 
 
+def months_of(window: Window) -> list[tuple[int, int]]:
+    """Year and month of every month the window touches."""
+    first, last = (dt.datetime.fromisoformat(x) for x in (window.start, window.end))
+    last -= dt.timedelta(microseconds=1)
+    count = (last.year - first.year) * 12 + last.month - first.month + 1
+    return [(first.year + (first.month - 1 + k) // 12, (first.month - 1 + k) % 12 + 1) for k in range(count)]
+
+
+def _in_months(months: Iterable[tuple[int, int]]) -> Column:
+    """Whether a stored row lies in one of the months: a filter on partition columns only."""
+    each = [(F.col(YEAR) == y) & (F.col(MONTH) == m) for y, m in sorted(months)]
+    return reduce(Column.__or__, each, F.lit(False))
+
+
+def _stored_months(spark: SparkSession, path: str) -> set[tuple[int, int]]:
+    named = (dict(x.split("=") for x in p.split("/")) for p in stored_partitions(spark, path, 2))
+    return {(int(p[YEAR]), int(p[MONTH])) for p in named}
+
+
+def _drop_months(spark: SparkSession, path: str, months: Iterable[tuple[int, int]]) -> None:
+    drop_partitions(spark, path, [f"{YEAR}={y}/{MONTH}={m}" for y, m in months])
+
+
 def run(spark: SparkSession, source: str, target: str, window: Window, rebalance: bool = False) -> Tables:
     """Clean, store, aggregate, store. Staging stays a view over the stored trips.
 
-    Marts are computed from the stored cleaned trips, so the raw files are read once and
-    each mart reads only the columns it needs. Trips are stored by year and month; a run
-    replaces the months of its window (which should be whole months) and keeps the others.
+    Trips are stored by year and month. A run replaces the months of its window (which should be
+    whole months) and keeps the others; a month of the window without a row in ``source`` is
+    emptied, once the new rows are stored. Beside each mart lie the partial aggregates it
+    is folded from: only those of months that this run replaced, or that have none yet, are computed
+    from trips.
     """
-    raw = read_trips(spark, source)
-    cleaned = write_parquet(
-        cleaning.clean(raw, cleaning.cleaning_rules(window))
+    trips, months = f"{target}/trips_cleaned", months_of(window)
+    pickup = TripColumns().pickup
+    rows = (
+        cleaning.clean(read_trips(spark, source), cleaning.cleaning_rules(window))
         .drop("extra", "mta_tax")
-        .withColumn("pickup_year", F.year(TripColumns().pickup)),
-        f"{target}/trips_cleaned",
-        partition_by=["pickup_year", "pickup_month"],
-        rebalance=rebalance,
-        only_these_partitions=True,
+        .withColumn(YEAR, F.year(pickup))
     )
-    planned = derive_from_clean(cleaned)
-    daily = write_parquet(planned.mart_daily_summary, f"{target}/mart_daily_summary")
-    hourly = write_parquet(planned.mart_hourly_patterns, f"{target}/mart_hourly_patterns")
-    return Tables(cleaned, planned.stg_trips, daily, hourly)
+    seen = Observation()
+    observed = rows.observe(seen, *[F.count_if((F.col(YEAR) == y) & (F.col(MONTH) == m)).alias(f"{y}-{m}") for y, m in months])
+    write_parquet(observed, trips, partition_by=[YEAR, MONTH], rebalance=rebalance, only_these_partitions=True)
+    empty = {(y, m) for y, m in months if not seen.get[f"{y}-{m}"]}
+    _drop_months(spark, trips, empty)
+    cleaned = read_parquet(spark, trips, rows.schema)
+
+    folded = []
+    for name, states_of, fold in ((DAILY, daily_states, daily_from_states), (HOURLY, hourly_states, hourly_from_states)):
+        states = update_states(cleaned, f"{target}/{name}_states", states_of, set(months))
+        folded.append(write_parquet(fold(states), f"{target}/{name}"))
+    return Tables(cleaned, cleaning.stage(cleaned), *folded)
+
+
+def update_states(
+    cleaned: DataFrame, path: str, states_of: Callable[[DataFrame], DataFrame], changed: set[tuple[int, int]]
+) -> DataFrame:
+    """Brings stored states in line with stored trips whose months ``changed`` are new, and reads them.
+
+    Months that have trips but no states, as after a run that was cut off, count as changed.
+    """
+    spark = cleaned.sparkSession
+    held, have = set(map(tuple, cleaned.select(YEAR, MONTH).distinct().collect())), _stored_months(spark, path)  # a row a month
+    stale = held & (changed | (held - have))
+    found = states_of(cleaning.stage(cleaned.filter(_in_months(stale))))
+    write_parquet(found.repartition(YEAR, MONTH), path, partition_by=[YEAR, MONTH], only_these_partitions=True)
+    _drop_months(spark, path, have - held)
+    return read_parquet(spark, path, found.schema)

@@ -6,6 +6,7 @@ time to ``orders`` or ``lineitem`` to show they depend on no trip column.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -128,6 +129,24 @@ def _pipeline_run(q: Inputs) -> DataFrame:
     return build.run(q.spark, f"{source}/part=*", target, WINDOW).mart_daily_summary
 
 
+def _pipeline_rerun(q: Inputs) -> DataFrame:
+    """A second run over the same period, whose source has no trip of February any more."""
+    source, target = shared_folder(q.spark, "raw_trips"), shared_folder(q.spark, "tables")
+    q.raw.drop(*KEY).write.parquet(f"{source}/first")
+    q.raw.filter(t.month(TripColumns().pickup) != 2).drop(*KEY).write.parquet(f"{source}/second")
+    build.run(q.spark, f"{source}/first", target, WINDOW)
+    return build.run(q.spark, f"{source}/second", target, WINDOW).mart_daily_summary
+
+
+def _by_months(q: Inputs) -> build.Tables:
+    """Three runs, one for each month; each folds the states of all months stored so far."""
+    source, target = shared_folder(q.spark, "raw_trips"), shared_folder(q.spark, "tables")
+    q.raw.drop(*KEY).write.parquet(source)
+    days = [f"2024-0{m}-01 00:00:00" for m in (1, 2, 3, 4)]
+    runs = [build.run(q.spark, source, target, Window(*days[k : k + 2], 1)) for k in range(3)]
+    return runs[-1]
+
+
 def _mart_csv_roundtrip(q: Inputs) -> DataFrame:
     path = shared_folder(q.spark, "mart_daily_summary_csv")
     storage.export_mart(q.daily, path)
@@ -165,6 +184,9 @@ SOURCES = {
     "write_read_clean": _write_read_clean,
     "stg_trips": lambda q: q.stg,
     "pipeline_run": _pipeline_run,
+    "pipeline_rerun": _pipeline_rerun,
+    "daily_by_months": lambda q: _by_months(q).mart_daily_summary,
+    "hourly_by_months": lambda q: _by_months(q).mart_hourly_patterns,
     "mart_csv_roundtrip": _mart_csv_roundtrip,
     "ingest_new": _ingest_new,
 }
@@ -262,8 +284,12 @@ def _stored_or(q: Inputs, name: str, derive: Callable[[], DataFrame]) -> DataFra
 
 def _view_of(q: Inputs, name: str, mart: DataFrame) -> DataFrame:
     """A stored mart that a reader finds by its name, and so does not derive."""
-    storage.save_view(storage.write_parquet(mart, shared_folder(q.spark, name)), name)
-    return _stored_or(q, name, lambda: mart.limit(0))
+    view = f"{name}_{uuid.uuid4().hex}"
+    storage.save_view(storage.write_parquet(mart, shared_folder(q.spark, name)), view)
+    try:
+        return _stored_or(q, view, lambda: mart.limit(0))
+    finally:
+        q.spark.catalog.dropTempView(view)
 
 
 MARTS = {

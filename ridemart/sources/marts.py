@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -38,6 +38,36 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return spark.read.schema(schema).parquet(path).select(*[f.name for f in schema.fields])
 
 
+def _folder(spark: SparkSession, path: str):
+    """Hadoop's path and the file system it lies on, whichever store that is."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def stored_partitions(spark: SparkSession, path: str, depth: int) -> list[str]:
+    """Partition folders of a stored table, such as ``year=2024/month=1``; none if it is not there.
+
+    Lists folders only, as many as the table has partitions.
+    """
+    at, store = _folder(spark, path)
+    found = [(at, "")] if store.exists(at) else []
+    for _ in range(depth):
+        found = [
+            (s.getPath(), f"{name}/{s.getPath().getName()}".lstrip("/"))
+            for folder, name in found
+            for s in store.listStatus(folder)
+            if s.isDirectory() and "=" in s.getPath().getName()
+        ]
+    return [name for _, name in found]
+
+
+def drop_partitions(spark: SparkSession, path: str, partitions: Iterable[str]) -> None:
+    """Deletes partition folders of a stored table; those that are not there are passed over."""
+    for name in partitions:
+        at, store = _folder(spark, f"{path}/{name}")
+        store.delete(at, True)
+
+
 def save_table(df: DataFrame, name: str) -> DataFrame:
     """Create or replace a catalog table from a DataFrame."""
     df.write.mode("overwrite").saveAsTable(name)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ridemart.sources.marts import stored_partitions
 from ridemart.sources.trips import read_as
 
 # The columns of Spark's file source, of which only the path is read.
@@ -32,7 +33,7 @@ def ingest_new(
     column types and cast, so a file whose types have drifted does not stop the stream. The
     checkpoint remembers loaded files, and a batch that is repeated after a failure replaces
     what it had written, so no file is skipped or loaded twice. ``transform`` has to be
-    row-wise. ``checkpoint`` and ``target`` belong on storage all executors share.
+    row-wise. A source without files gives an empty table. ``checkpoint`` and ``target`` belong on storage all executors share.
     """
 
     def load(batch: DataFrame, number: int) -> None:
@@ -55,5 +56,8 @@ def ingest_new(
         .start()
     )
     query.awaitTermination()
-    shape = transform(spark.createDataFrame([], schema)).schema
+    nothing = transform(spark.createDataFrame([], schema))
+    shape = nothing.schema
+    if not stored_partitions(spark, target, 1):  # no file has ever arrived
+        return nothing
     return spark.read.schema(shape).parquet(target).select(*[F.col(f"`{c}`") for c in shape.names])

@@ -1,11 +1,13 @@
 import pytest
 from pyspark.sql import functions as F
 
-from ridemart.operators import marts
+from ridemart.operators import cleaning, marts, states
+from ridemart.operators.columns import Window
 from ridemart.plans import build
 from ridemart.plans.catalog import WINDOW
 from ridemart.sources import marts as storage
 from ridemart.sources import trips
+from ridemart.sources.marts import drop_partitions, stored_partitions
 from ridemart.sources.schema import DAILY_SUMMARY, RAW_TRIPS
 from ridemart.streaming.ingest import ingest_new
 
@@ -171,3 +173,57 @@ def test_a_missing_column_in_one_kind_is_an_error(spark, drifted, raw_folder):
     bad.write.parquet(f"{folder}/9")
     with pytest.raises(ValueError, match="tip_amount"):
         trips.read_trips(spark, folder + "/*")
+
+
+def test_a_run_empties_months_without_rows_and_recomputes_only_its_own(spark, inputs, tmp_path):
+    source, target = str(tmp_path / "raw"), str(tmp_path / "out")
+    raw = inputs.raw.drop("trip_id")
+    raw.write.parquet(f"{source}/all")
+    raw.filter("month(tpep_pickup_datetime) <> 2").write.parquet(f"{source}/gap")
+    build.run(spark, f"{source}/all", target, WINDOW)
+    before = {p: (tmp_path / "out/mart_daily_summary_states" / p).stat().st_mtime_ns for p in stored_partitions(spark, f"{target}/mart_daily_summary_states", 2)}
+    assert len(before) == 3
+    february = Window("2024-02-01 00:00:00", "2024-03-01 00:00:00", 1)
+    tables = build.run(spark, f"{source}/gap", target, february)
+    assert {r[0] for r in tables.cleaned.select("pickup_month").distinct().collect()} == {1, 3}
+    assert {r[0].month for r in tables.mart_daily_summary.select("trip_date").collect()} == {1, 3}
+    after = {p: (tmp_path / "out/mart_daily_summary_states" / p).stat().st_mtime_ns for p in stored_partitions(spark, f"{target}/mart_daily_summary_states", 2)}
+    assert after == {p: m for p, m in before.items() if not p.endswith("=2")}
+    # A month whose states are missing is computed again with the next run.
+    drop_partitions(spark, f"{target}/mart_daily_summary_states", ["pickup_year=2024/pickup_month=1"])
+    again = build.run(spark, f"{source}/all", target, february)
+    assert {r[0].month for r in again.mart_daily_summary.select("trip_date").collect()} == {1, 2, 3}
+
+
+def test_states_are_read_by_partition(spark, inputs, tmp_path):
+    target = str(tmp_path / "out")
+    inputs.raw.drop("trip_id").write.parquet(f"{target}/raw")
+    cleaned = build.run(spark, f"{target}/raw", target, WINDOW).cleaned
+    found = states.hourly_states(cleaning.stage(cleaned.filter(build._in_months({(2024, 2)}))))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(pickup_year" in plan
+
+
+def test_months_of_a_window():
+    assert build.months_of(WINDOW) == [(2024, 1), (2024, 2), (2024, 3)]
+    assert build.months_of(Window("2023-12-15 00:00:00", "2024-01-01 00:00:01", 1)) == [(2023, 12), (2024, 1)]
+
+
+@pytest.mark.parametrize("states_of", [states.daily_states, states.hourly_states])
+def test_states_of_parts_merge_into_those_of_the_whole(inputs, states_of):
+    def rows(df):
+        parts = [c for c in df.columns if c.startswith(("trips", "n_", "sum_"))]
+        return {tuple(r[c] for c in sorted(set(df.columns) - set(parts))): [r[c] for c in parts] for r in df.collect()}
+
+    parts = inputs.stg.withColumn("part", F.abs(F.hash("pickup_at")) % 3)
+    some = [states_of(parts.filter(F.col("part") == k)) for k in range(3)]
+    whole, merged = rows(states_of(inputs.stg)), rows(states.merged(some[0].union(some[1]).union(some[2])))
+    assert merged.keys() == whole.keys()
+    for key, row in whole.items():
+        assert merged[key] == pytest.approx(row, rel=1e-12)
+
+
+def test_ingestion_of_an_empty_folder(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    run = lambda: ingest_new(spark, str(tmp_path / "raw"), str(tmp_path / "to"), str(tmp_path / "log"), RAW_TRIPS)
+    assert run().count() == 0 and run().schema == RAW_TRIPS
