@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest as _digest
 
 from ridemart.llm.common import releasing_shuffles, stored
 
@@ -88,13 +89,8 @@ class Cuts:
             step = min(span, self.window - span)
             least = np.minimum(least[:-step], least[step:])
             span += step
-        return np.unique((low - (least & low)).astype(np.int64))
-
-
-def _digest(data: bytes) -> int:
-    from xxhash import xxh3_64_intdigest
-
-    return xxh3_64_intdigest(data)
+        chosen = (low - (least & low)).astype(np.int64)  # never falls
+        return chosen[np.concatenate(([True], chosen[1:] != chosen[:-1]))]
 
 
 def _signed(values: list[int]) -> pa.Array:
