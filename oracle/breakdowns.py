@@ -175,3 +175,33 @@ STATEMENTS = {
         """,
     ),
 }
+
+
+def _cut(report: str, k1: str, k2: str = "NULL", where: str = "TRUE", pct: bool = True, fare: bool = True, top: int | None = None) -> str:
+    share = "round(100.0 * count(*) / sum(count(*)) OVER (), 2)" if pct else "CAST(NULL AS DOUBLE)"
+    mean = "round(avg(fare_amount), 2)" if fare else "CAST(NULL AS DOUBLE)"
+    best = f"ORDER BY trip_count DESC, k1 NULLS LAST, k2 NULLS LAST LIMIT {top}" if top else ""
+    return f"""(SELECT '{report}' AS report, CAST({k1} AS BIGINT) AS k1, CAST({k2} AS BIGINT) AS k2,
+      count(*) AS trip_count, {share} AS pct, {mean} AS avg_fare
+      FROM raw WHERE {where} GROUP BY ALL {best})"""
+
+
+_AT = "tpep_pickup_datetime"
+STATEMENTS["breakdowns_one_scan"] = over(
+    "raw",
+    body=" UNION ALL ".join(
+        [
+            _cut("passengers", "passenger_count", where="passenger_count BETWEEN 1 AND 9", fare=False),
+            _cut("payments", "payment_type", where="payment_type BETWEEN 1 AND 6"),
+            _cut("rate_codes", "RatecodeID"),
+            _cut("vendors", "VendorID"),
+            _cut("months", f"year({_AT})", f"month({_AT})", pct=False),
+            _cut("hours", f"hour({_AT})"),
+            _cut("weekdays", f"dayofweek({_AT})"),
+            _cut("day_types", f"dayofweek({_AT}) IN (0, 6)"),
+            _cut("pickup_zones", "PULocationID", top=10),
+            _cut("dropoff_zones", "DOLocationID", top=10),
+            _cut("routes", "PULocationID", "DOLocationID", top=10),
+        ]
+    ),
+)

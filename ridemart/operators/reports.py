@@ -17,7 +17,7 @@ from ridemart.functions.labels import (
     short,
 )
 from ridemart.functions.numeric import mean, percent, rounded, total
-from ridemart.operators.breakdown import breakdown, pivot_counts
+from ridemart.operators.breakdown import Cut, breakdown, cut_of, grouped_sets, pivot_counts
 from ridemart.operators.columns import TripColumns
 
 _AT = TripColumns()
@@ -120,6 +120,51 @@ def top_routes(df: DataFrame, k: int = 10, at: TripColumns = _AT) -> DataFrame:
     )
 
 
+def exploration_cuts(at: TripColumns = _AT, k: int = 10) -> dict[str, Cut]:
+    """The breakdowns of the exploration report, by the name they have there."""
+    return {
+        "passengers": Cut([at.passengers], ["total_fare"], "pct", f"{at.passengers} BETWEEN 1 AND 9"),
+        "payments": Cut([at.payment], ["avg_fare", "avg_tip", "tip_rate_pct"], "pct", f"{at.payment} IN ({', '.join(map(str, PAYMENT_TYPES))})"),
+        "rate_codes": Cut([at.rate_code], ["avg_fare", "avg_distance"], "pct"),
+        "vendors": Cut([at.vendor], ["avg_fare"], "pct"),
+        "months": Cut(["yr", "mo"], ["avg_fare", "avg_distance", "avg_tip", "total_revenue"]),
+        "hours": Cut(["pickup_hour"], ["avg_fare", "avg_distance"], "pct_of_day"),
+        "weekdays": Cut(["dow_number"], ["avg_fare", "avg_distance", "avg_tip"], "pct_of_week"),
+        "day_types": Cut(["day_type"], ["avg_fare", "avg_distance", "avg_tip", "avg_pickup_hour"], "pct"),
+        "pickup_zones": Cut([at.origin], ["avg_fare", "avg_distance"], "pct", top=k),
+        "dropoff_zones": Cut([at.destination], ["avg_fare"], "pct", top=k),
+        "routes": Cut([at.origin, at.destination], ["avg_fare", "avg_distance", "avg_tip"], "pct", top=k),
+    }
+
+
+def exploration_groups(df: DataFrame, at: TripColumns = _AT) -> tuple[DataFrame, list[str]]:
+    """The groups of all exploration breakdowns in one scan of raw trips, and the names of the keys."""
+    weekend = t.day_of_week(at.pickup).isin(0, 6)
+    keys = {
+        **{c: F.col(c) for c in (at.passengers, at.payment, at.rate_code, at.vendor, at.origin, at.destination)},
+        "yr": t.year(at.pickup), "mo": t.month(at.pickup), "pickup_hour": t.hour(at.pickup), "dow_number": t.day_of_week(at.pickup),
+        "day_type": F.when(weekend, "Weekend").otherwise("Weekday"),
+    }
+    measures = {
+        **_means(at, "fare", "distance", "tip"),
+        "total_fare": total(at.fare, 0),
+        "total_revenue": total(at.total, 0),
+        "tip_rate_pct": percent(F.sum(at.tip), F.sum(at.fare)),
+        "avg_pickup_hour": mean(F.hour(at.pickup), 1),
+    }
+    return grouped_sets(df, keys, measures, exploration_cuts(at).values(), "trip_count"), list(keys)
+
+
+def exploration_breakdowns(grouped: DataFrame, keys: Sequence[str], at: TripColumns = _AT) -> dict[str, DataFrame]:
+    """Every exploration breakdown, taken from stored groups of all of them."""
+    out = {name: cut_of(grouped, keys, cut, "trip_count") for name, cut in exploration_cuts(at).items()}
+    out["payments"] = out["payments"].withColumn("payment_desc", label(at.payment, PAYMENT_TYPES, "Other"))
+    out["rate_codes"] = out["rate_codes"].withColumn("ratecode_desc", label(at.rate_code, RATE_CODES, "Other"))
+    out["vendors"] = out["vendors"].withColumn("vendor_desc", label(at.vendor, VENDORS, "Other"))
+    out["weekdays"] = out["weekdays"].withColumn("day_name", label("dow_number", DAY_NAMES))
+    return out
+
+
 # ---- cleaned trips ---------------------------------------------------------------------
 
 

@@ -90,20 +90,20 @@ def run(spark: SparkSession, source: str, target: str, window: Window, rebalance
 
     folded = []
     for name, states_of, fold in ((DAILY, daily_states, daily_from_states), (HOURLY, hourly_states, hourly_from_states)):
-        states = update_states(cleaned, f"{target}/{name}_states", states_of, set(months))
+        states = update_states(cleaned, _stored_months(spark, trips), f"{target}/{name}_states", states_of, set(months))
         folded.append(write_parquet(fold(states), f"{target}/{name}"))
     return Tables(cleaned, cleaning.stage(cleaned), *folded)
 
 
 def update_states(
-    cleaned: DataFrame, path: str, states_of: Callable[[DataFrame], DataFrame], changed: set[tuple[int, int]]
+    cleaned: DataFrame, held: set[tuple[int, int]], path: str, states_of: Callable[[DataFrame], DataFrame], changed: set[tuple[int, int]]
 ) -> DataFrame:
-    """Brings stored states in line with stored trips whose months ``changed`` are new, and reads them.
+    """Brings stored states in line with trips stored for months ``held``, ``changed`` of them new; reads them.
 
     Months that have trips but no states, as after a run that was cut off, count as changed.
     """
     spark = cleaned.sparkSession
-    held, have = set(map(tuple, cleaned.select(YEAR, MONTH).distinct().collect())), _stored_months(spark, path)  # a row a month
+    have = _stored_months(spark, path)
     stale = held & (changed | (held - have))
     found = states_of(cleaning.stage(cleaned.filter(_in_months(stale))))
     write_parquet(found.repartition(YEAR, MONTH), path, partition_by=[YEAR, MONTH], only_these_partitions=True)

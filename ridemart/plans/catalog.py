@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -18,7 +19,7 @@ from ridemart.functions.numeric import rounded, total
 from ridemart.operators import cleaning, marts, profile, quality, regression, reports, sampling, scoring, verify
 from ridemart.operators.columns import TripColumns, Window
 from ridemart.operators.rules import Rule
-from ridemart.plans import build
+from ridemart.plans import build, report_sets
 from ridemart.session import shared_folder
 from ridemart.sources import marts as storage
 from ridemart.sources import trips
@@ -272,6 +273,23 @@ BREAKDOWNS = {
     "kpi_summary": lambda q: reports.kpi_summary(q.clean),
 }
 
+
+
+def _one_scan(q: Inputs) -> DataFrame:
+    """All exploration breakdowns, from the groups that one scan has stored, as one long table."""
+    numbers = {"day_type": F.col("day_type") == "Weekend"}
+    parts = []
+    for name, table in report_sets.one_scan_breakdowns(q.raw).items():
+        cut = reports.exploration_cuts()[name]
+        k1, k2 = ([numbers.get(k, F.col(k)).cast("long") for k in cut.keys] + [F.lit(None).cast("long")])[:2]
+        share = F.col(cut.share) if cut.share else F.lit(None).cast("double")
+        fare = F.col("avg_fare") if "avg_fare" in cut.measures else F.lit(None).cast("double")
+        parts.append(table.select(F.lit(name).alias("report"), k1.alias("k1"), k2.alias("k2"), "trip_count", share.alias("pct"), fare.alias("avg_fare")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+BREAKDOWNS["breakdowns_one_scan"] = _one_scan
+
 # ---- marts and mart-level operators ----------------------------------------------------
 
 _DOW_COLUMNS = ["trips", "avg_fare", "avg_tip", "avg_distance", "avg_duration"]

@@ -1,6 +1,7 @@
 """Whole reports: the tables a data-quality, exploration, verification or dashboard run shows.
 
-Each function returns named DataFrames; nothing runs until one is used. Inputs should be
+Each function returns named DataFrames. Quantiles and the groups of the exploration report are
+computed when the report is made, everything else when it is used. Inputs should be
 stored tables (raw files, cleaned trips, marts): every report is one narrow scan of them, so
 storing beats caching unless several reports of one small table are drawn at once.
 """
@@ -15,7 +16,8 @@ from pyspark.sql import functions as F
 from ridemart.operators import marts, profile, quality, reports, verify
 from ridemart.operators.columns import Window
 from ridemart.plans.build import Tables
-from ridemart.sources.marts import list_tables
+from ridemart.session import shared_folder
+from ridemart.sources.marts import list_tables, write_parquet
 from ridemart.sources.trips import SOURCE_FILE, describe_schema, volume
 
 Report = dict[str, DataFrame]
@@ -37,6 +39,12 @@ def quality_report(raw: DataFrame, window: Window) -> Report:
     }
 
 
+def one_scan_breakdowns(raw: DataFrame) -> Report:
+    """The eleven breakdowns of raw trips: one scan stores their groups, which they are taken from."""
+    grouped, keys = reports.exploration_groups(raw)
+    return reports.exploration_breakdowns(write_parquet(grouped, shared_folder(raw.sparkSession, "breakdown_groups")), keys)
+
+
 def exploration_report(raw: DataFrame, keys: Sequence[str]) -> Report:
     """Schema, volume, distributions, time and zone patterns, anomalies and correlations.
 
@@ -44,21 +52,19 @@ def exploration_report(raw: DataFrame, keys: Sequence[str]) -> Report:
     ``keys`` identify a trip; they make the correlation sample reproducible.
     """
     trip_columns = list(quality.NULL_COUNT_NAMES)
+    cuts = one_scan_breakdowns(raw)
     out = {
         "schema": describe_schema(raw),
         "column_quality": quality.column_quality(raw, trip_columns).orderBy("column_name"),
         "numeric_summary": profile.numeric_summary(raw, profile.trip_metrics()),
-        "passengers": reports.passenger_distribution(raw).orderBy("passenger_count"),
-        "payments": reports.payment_distribution(raw).orderBy("payment_type"),
-        "rate_codes": reports.rate_code_distribution(raw).orderBy(F.desc("trip_count")),
-        "vendors": reports.vendor_distribution(raw).orderBy("VendorID"),
-        "months": reports.monthly_aggregates(raw).orderBy("yr", "mo"),
-        "hours": reports.hourly_profile(raw).orderBy("pickup_hour"),
-        "weekdays": reports.weekday_profile(raw).orderBy("dow_number"),
-        "day_types": reports.day_type_profile(raw),
-        "pickup_zones": reports.top_pickups(raw),
-        "dropoff_zones": reports.top_dropoffs(raw),
-        "routes": reports.top_routes(raw),
+        "passengers": cuts["passengers"].orderBy("passenger_count"),
+        "payments": cuts["payments"].orderBy("payment_type"),
+        "rate_codes": cuts["rate_codes"].orderBy(F.desc("trip_count")),
+        "vendors": cuts["vendors"].orderBy("VendorID"),
+        "months": cuts["months"].orderBy("yr", "mo"),
+        "hours": cuts["hours"].orderBy("pickup_hour"),
+        "weekdays": cuts["weekdays"].orderBy("dow_number"),
+        **{name: cuts[name] for name in ("day_types", "pickup_zones", "dropoff_zones", "routes")},
         "anomalies": quality.anomaly_scan(raw),
         "correlations": profile.correlations(raw, keys),
     }

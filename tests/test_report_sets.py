@@ -49,3 +49,23 @@ def test_shared_folder_follows_the_cluster_setting():
     assert shared_folder(_session("yarn", current="/mnt/all"), "x").startswith("/mnt/all/x-")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(_session("spark://host:7077"), "x")
+
+
+def test_breakdowns_of_one_scan_equal_the_single_ones(inputs):
+    from ridemart.operators import reports
+
+    grouped, keys = reports.exploration_groups(inputs.raw)
+    plan = grouped._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    single = {
+        "passengers": reports.passenger_distribution, "payments": reports.payment_distribution, "rate_codes": reports.rate_code_distribution,
+        "vendors": reports.vendor_distribution, "months": reports.monthly_aggregates, "hours": reports.hourly_profile,
+        "weekdays": reports.weekday_profile, "day_types": reports.day_type_profile, "pickup_zones": reports.top_pickups,
+        "dropoff_zones": reports.top_dropoffs, "routes": reports.top_routes,
+    }
+    found = report_sets.one_scan_breakdowns(inputs.raw)
+    assert found.keys() == single.keys()
+    for name, table in found.items():
+        want = single[name](inputs.raw)
+        assert set(table.columns) == set(want.columns), name
+        assert sorted(map(repr, table.collect())) == sorted(map(repr, want.select(*table.columns).collect())), name
