@@ -26,7 +26,7 @@ def sample_rows(df: DataFrame, n: int, keys: Sequence[str], seed: int = 42) -> D
     """The min(n, rows) rows with the smallest key hash, in no order.
 
     ``orderBy(hash).limit(n)`` would let every task hand n rows to the last one. Instead the
-    n-th digest is found and rows are filtered by it, so no row is ever moved to be sorted. A
+    n-th digest is found and rows are filtered by it; only rows with that digest are moved. A
     first pass counts rows by the head of their digest, its leading zeros and the digit after
     them (a few hundred heads at most, whatever the input); a second orders the digests, not
     the rows, of the one head that holds the n-th. Rows that share that digest are taken in
@@ -46,11 +46,13 @@ def sample_rows(df: DataFrame, n: int, keys: Sequence[str], seed: int = 42) -> D
     last_head = nth(heads, "head", F.lit(0))
     digests = hashed.filter(head == last_head["value"]).groupBy("_digest").agg(F.count(F.lit(1)).alias("rows"))
     cut = nth(digests, "_digest", last_head["before"])
-    # Without a cut there are fewer than n rows, and all are taken.
-    near = hashed.filter(F.coalesce(F.col("_digest") <= cut["value"], F.lit(True)))
-    tied = F.row_number().over(W.partitionBy("_digest").orderBy(*keys))
-    inside = F.coalesce((F.col("_digest") < cut["value"]) | (F.col("_tied") <= F.lit(n) - cut["before"]), F.lit(True))
-    return near.withColumn("_tied", tied).filter(inside).drop("_digest", "_tied")
+    # Without a cut there are fewer than n rows, and all are taken. Only rows that share the cut's
+    # digest are numbered, by their keys; all others stay where they are.
+    below = hashed.filter(F.coalesce(F.col("_digest") < cut["value"], F.lit(True)))
+    place = F.row_number().over(W.partitionBy("_digest").orderBy(*keys))
+    tied = hashed.filter(F.col("_digest") == cut["value"]).withColumn("_tied", place)
+    tied = tied.filter(F.col("_tied") <= F.lit(n) - cut["before"]).drop("_tied")
+    return below.union(tied).drop("_digest")
 
 
 def in_test(keys: Sequence[str], test_share: float = 0.2, seed: int = 42) -> Column:
