@@ -34,6 +34,8 @@ from ridemart.session import shared_folder
 #: Ids of a frame (1 MiB inflated), and ids after which a file is closed at the next document.
 FRAME_IDS = 1 << 18
 FILE_IDS = 1 << 26
+#: Documents after which a file is closed, however few ids they have: its index is held in memory.
+FILE_DOCS = 1 << 20
 END_ID = 1
 #: Fixed values of the format: magics of skippable frames and of the seek table.
 INDEX_MAGIC, SEEK_MAGIC, SEEKABLE_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
@@ -110,7 +112,9 @@ class Encoder:
             head = word
             if "<" not in word:  # which may begin a special token
                 bare = word.rstrip(MARKS)
-                if bare and bare[-1].isalnum():
+                # Normalising may turn any other letter into one with a combining mark, which would
+                # make one piece with the marks after it.
+                if bare and bare[-1].isascii() and bare[-1].isalnum():
                     head = bare
                 if self.lowers and head.isascii():
                     head = head.lower()
@@ -300,6 +304,7 @@ def write(
     text: str = "text",
     partitions: int | None = None,
     file_ids: int = FILE_IDS,
+    file_docs: int = FILE_DOCS,
 ) -> DataFrame:
     """Writes the ids of all documents in ascending order of the key (nulls last).
 
@@ -327,6 +332,7 @@ def write(
         store.create_dir(root, recursive=True)
         encode = encoder(tokenizer).encode
         part, closed, out, path = TaskContext.get().partitionId(), [], None, ""
+        end = np.uint32(END_ID).tobytes()
 
         def close():
             out.close()
@@ -338,8 +344,8 @@ def write(
                 if out is None:
                     path = new_file(root, ".ids.zst")
                     out = Writer(store.open_output_stream(path, compression=None))
-                out.add(key, np.append(np.frombuffer(ids, np.uint32), np.uint32(END_ID)))
-                if out.ids >= file_ids:
+                out.add(key, np.frombuffer(ids + end, np.uint32))
+                if out.ids >= file_ids or len(out.docs) >= file_docs:
                     close()
                     out = None
         if out is not None:

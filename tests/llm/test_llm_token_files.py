@@ -125,3 +125,25 @@ def test_whole_table(spark, direct, tmp_path, file_ids):
     assert keys == sorted((i for i, _ in rows if i is not None)) + [None] * 2
     assert [r.start for r in ordered] == [0, *np.cumsum([r.n_tokens for r in ordered])[:-1].tolist()]
     assert files.read(files.write(docs.limit(0), str(tmp_path / "none"), TOKENIZER), str(tmp_path / "none")).count() == 0
+
+
+def test_marks_after_letters_that_normalising_changes():
+    import sys
+    import unicodedata
+
+    path = files.tokenizer_path()
+    encoder = files.Encoder(path)
+    changed = [c for c in map(chr, range(0x80, sys.maxunicode + 1)) if not 0xD800 <= ord(c) < 0xE000
+               and (unicodedata.normalize("NFC", c) != c or c.lower() != c or c.upper() != c)]
+    texts = [c + mark for c in changed for mark in ".!,;"] + ["xİ;", "क़.", "ড়!", "שׁ.", "a.", "Été, été."]
+    got = list(encoder.encode(texts))
+    want = encoder.tokenizer.encode_batch(texts, add_special_tokens=False)
+    assert [np.frombuffer(g, np.uint32).tolist() for g in got] == [w.ids for w in want]
+
+
+def test_many_empty_texts_close_files(spark, tmp_path):
+    docs = spark.createDataFrame([(i, "") for i in range(40)], "doc_id long, text string")
+    made = files.write(docs, str(tmp_path), files.tokenizer_path(), partitions=1, file_docs=7)
+    assert sorted(r.docs for r in made.collect()) == [5, 7, 7, 7, 7, 7]
+    found = files.read(made, str(tmp_path)).collect()
+    assert sorted((r.key, r.start, r.n_tokens) for r in found) == [(i, i, 1) for i in range(40)]
