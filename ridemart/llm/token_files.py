@@ -107,8 +107,11 @@ class Encoder:
         return [packed[4 * a : 4 * b] for a, b in zip(starts, ends, strict=True)]
 
     def _learn(self, unknown: set[str]) -> None:
-        pieces, new, parts = self.pieces, set(), []
-        for word in unknown:
+        pieces, lowers = self.pieces, self.lowers
+        plain = [w for w in unknown if w.isalpha()]
+        heads = [w.lower() if w.isascii() else w for w in plain] if lowers else plain
+        new, parts = set(heads).difference(pieces), []
+        for word in unknown.difference(plain):
             head = word
             if "<" not in word:  # which may begin a special token
                 bare = word.rstrip(MARKS)
@@ -116,7 +119,7 @@ class Encoder:
                 # make one piece with the marks after it.
                 if bare and bare[-1].isascii() and bare[-1].isalnum():
                     head = bare
-                if self.lowers and head.isascii():
+                if lowers and head.isascii():
                     head = head.lower()
             tail = word[len(head) :]
             parts.append((word, head, tail))
@@ -130,6 +133,7 @@ class Encoder:
             pieces.update(zip(some, self._letters(some), strict=True))
         others = [p for p in new if not p.isalpha()]
         pieces.update(zip(others, self._whole(others), strict=True))
+        self.words.update(zip(plain, map(pieces.__getitem__, heads), strict=True))
         self.words.update((word, pieces[head] + pieces[tail] if tail else pieces[head]) for word, head, tail in parts)
         self.characters += sum(map(len, unknown))
 
