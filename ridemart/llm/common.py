@@ -28,6 +28,17 @@ def ascii_lower(text: str | Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores in front as it takes to be no column of ``df``."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """The rows written once to the folder all executors share, and read back.
 
@@ -69,32 +80,34 @@ def numbered(
     by block give each block's first number, and only a block is ever sorted in one task, so a
     group may hold any share of the rows. The numbers depend on values alone: rows that agree in
     all of ``order`` are adjacent and interchangeable. ``groups`` must not hold nulls.
-    ``rows_in_group`` names a column that already has the size of the row's group.
+    Columns of any name but ``name`` are kept. ``rows_in_group`` names a column that already has the size of the row's group.
     """
     groups = list(groups)
+    hashed_as, block, first_as, size = unused(df, "_hash", "_block", "_first", "_in_group")
+    added = [hashed_as, block, first_as]
     if rows_in_group is None:
         if groups:
-            sizes = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_in_group"))
+            sizes = df.groupBy(*groups).agg(F.count(F.lit(1)).alias(size))
             df = df.join(sizes, groups)
         else:
-            df = df.withColumn("_in_group", F.lit(df.count()))
-        rows_in_group = "_in_group"
-    hashed = df.withColumn("_hash", F.xxhash64(*order))
+            df = df.withColumn(size, F.lit(df.count()))
+        rows_in_group, added = size, [*added, size]
+    hashed = df.withColumn(hashed_as, F.xxhash64(*order))
     # The upper 31 bits, shifted so that they grow with the signed hash.
-    head = F.shiftrightunsigned(F.col("_hash").bitwiseXOR(F.lit(-(2**63)).cast("long")), 33)
+    head = F.shiftrightunsigned(F.col(hashed_as).bitwiseXOR(F.lit(-(2**63)).cast("long")), 33)
     blocks = F.ceil(F.col(rows_in_group) / F.lit(block_rows))
-    hashed = hashed.withColumn("_block", F.shiftright(head * blocks, 31))
-    before = W.partitionBy(*groups).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+    hashed = hashed.withColumn(block, F.shiftright(head * blocks, 31))
+    before = W.partitionBy(*groups).orderBy(block).rowsBetween(W.unboundedPreceding, -1)
     first = (
-        hashed.groupBy(*groups, "_block")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(*groups, "_block", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_first"))
+        hashed.groupBy(*groups, block)
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .select(*groups, block, F.coalesce(F.sum("rows").over(before), F.lit(0)).alias(first_as))
     )
-    within = W.partitionBy(*groups, "_block").orderBy("_hash", *order)
+    within = W.partitionBy(*groups, block).orderBy(hashed_as, *order)
     return (
-        hashed.join(first, [*groups, "_block"])
-        .withColumn(name, F.col("_first") + F.row_number().over(within) - 1)
-        .drop("_hash", "_block", "_first", "_in_group")
+        hashed.join(first, [*groups, block])
+        .withColumn(name, F.col(first_as) + F.row_number().over(within) - 1)
+        .drop(*added)
     )
 
 

@@ -16,7 +16,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ridemart.llm.common import numbered, stored
+from ridemart.llm.common import numbered, stored, unused
 
 ROUNDS = 6
 #: A walk needs another step with a chance of about 1 in sqrt(n); this many never suffice only
@@ -109,18 +109,19 @@ def shard(
 
     ``keys`` tell rows apart (any of them may be null). Rows that agree in all keys get adjacent
     row numbers in any order; an empty table gives an empty table. Columns of ``docs`` that bear
-    one of the three names are replaced.
+    one of the three names are replaced, columns of any other name kept.
     """
     kept = docs.drop("row_number", "shard", "slot")
     n = kept.count()
-    rows = numbered(kept.withColumn("_n", F.lit(n)), [], keys, "row_number", "_n", block_rows).drop("_n")
-    number = rows.withColumn("_p", permuted(F.col("row_number"), n, seed))
+    size, place = unused(kept, "_n", "_p")
+    rows = numbered(kept.withColumn(size, F.lit(n)), [], keys, "row_number", size, block_rows).drop(size)
+    number = rows.withColumn(place, permuted(F.col("row_number"), n, seed))
     return number.withColumns(
         {
-            "shard": (F.col("_p") % shards).cast("int"),
-            "slot": F.floor(F.col("_p") / shards).cast("long"),
+            "shard": (F.col(place) % shards).cast("int"),
+            "slot": F.floor(F.col(place) / shards).cast("long"),
         }
-    ).drop("_p")
+    ).drop(place)
 
 
 def measured(docs: DataFrame) -> DataFrame:

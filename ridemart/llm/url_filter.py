@@ -16,7 +16,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridemart.llm.common import ascii_lower
+from ridemart.llm.common import ascii_lower, unused
 
 ALLOW, BLOCK = "allow", "block"
 #: Rules up to this many are broadcast; more are joined by shuffling both sides.
@@ -61,7 +61,7 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = A
     ``rules`` has host, path and verdict; rules with a null part or an empty host are void, and
     of rules with the same host and path block wins. A null URL, or one without ``://``, has an
     empty host and path, fits no rule and gets ``default``. Rows are kept as often as they
-    occur; columns of ``pages`` that bear one of the four names are replaced.
+    occur; columns of ``pages`` that bear one of the four names are replaced, all others kept.
     """
     ruled = (
         rules.select(ascii_lower("host").alias("rule_host"), F.col("path").alias("rule_path"), "verdict")
@@ -83,7 +83,8 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = A
     out = out.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
     if not shapes["rules"]:
         return out.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(default)})
-    out = out.withColumn("_head", F.substring("path", 1, longest))
+    head, judged_by = unused(out, "_head", "_best")
+    out = out.withColumn(head, F.substring("path", 1, longest))
 
     labels, lengths = (F.array(*[F.lit(x) for x in shapes[k]]) for k in ("labels", "lengths"))
     parts = F.split("host", r"\.")
@@ -92,11 +93,11 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = A
         lambda k: F.concat_ws(".", F.slice(parts, F.size(parts) - k + 1, k)),
     )
     prefixes = F.transform(
-        F.filter(lengths, lambda k: k <= F.length("_head")), lambda k: F.substring(F.col("_head"), F.lit(1), k)
+        F.filter(lengths, lambda k: k <= F.length(head)), lambda k: F.substring(F.col(head), F.lit(1), k)
     )
     expressions = (
         out.filter("host <> ''")
-        .select("host", "_head")
+        .select("host", head)
         .distinct()
         .withColumn("_suffix", F.explode(suffixes))
         .withColumn("_prefix", F.explode(prefixes))
@@ -114,18 +115,18 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = A
     best = (
         expressions.join(ruled, "short")
         .filter(F.col("_digest") == F.col("digest"))
-        .groupBy("host", "_head")
-        .agg(F.max(precedence).alias("_best"))
+        .groupBy("host", head)
+        .agg(F.max(precedence).alias(judged_by))
     )
     return (
-        out.join(best, ["host", "_head"], "left")
+        out.join(best, ["host", head], "left")
         .withColumns(
             {
-                "rule": F.col("_best.rule"),
-                "verdict": F.coalesce(F.col("_best.verdict"), F.lit(default)),
+                "rule": F.col(judged_by)["rule"],
+                "verdict": F.coalesce(F.col(judged_by)["verdict"], F.lit(default)),
             }
         )
-        .drop("_head", "_best")
+        .drop(head, judged_by)
     )
 
 

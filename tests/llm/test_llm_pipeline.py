@@ -4,6 +4,7 @@ import collections
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from test_llm_quality_rules import slow_statistics
 from test_llm_simhash import slow_components, slow_fingerprint
 
@@ -83,3 +84,20 @@ def test_run_applies_all_stages(spark):
 def test_empty_table(spark, docs):
     for name, stage in pipeline.STAGES:
         assert stage(spark, docs.limit(0), DATA).count() == 0, name
+
+
+def test_columns_of_any_name_and_type_are_kept(spark, docs):
+    more = docs.withColumns(
+        {
+            "_row": F.concat(F.lit("r"), F.col("n_chars")), "_copies": F.col("n_chars") * 2, "_copy": F.lit("c"), "kept": F.lit("k"),
+            "statistics": F.col("n_chars") + 1, "whole_row": F.lit(1), "rows": F.lit(2), "component_id": F.lit(3), "size": F.lit(4),
+            "a.b": F.lit(5), "tags": F.create_map(F.lit("n"), F.col("n_chars")), "doc_id": F.col("doc_id").cast("string"),
+        }
+    )
+    for name, stage in pipeline.STAGES[:3]:
+        out = stage(spark, more, DATA)
+        assert out.columns == more.columns, name
+        for r in out.collect():
+            assert r["_row"] == (None if r.n_chars is None else f"r{r.n_chars}") and r["tags"] == {"n": r.n_chars}
+            assert (r["_copy"], r["kept"], r["whole_row"], r["rows"], r["component_id"], r["size"], r["a.b"]) == ("c", "k", 1, 2, 3, 4, 5)
+            assert r["_copies"] == (None if r.n_chars is None else r.n_chars * 2)

@@ -64,6 +64,12 @@ def test_fewer_rows_than_shards_none_and_clashing_names(spark, docs):
     assert sharding.shard(docs.limit(0), ["doc_id"], 40).count() == 0
     clashing = docs.selectExpr("*", "1 AS shard", "'a' AS slot", "2 AS row_number")
     assert sharding.shard(clashing, ["doc_id", "text"], 4).columns == ["doc_id", "text", "row_number", "shard", "slot"]
+    own = {c: 7 + i for i, c in enumerate(("_hash", "_block", "_first", "_N", "_p", "_in_group", "_rows", "rows", "__hash"))}
+    kept = sharding.shard(docs.selectExpr("*", *[f"{v} AS {c}" for c, v in own.items()]), ["doc_id", "text"], 4)
+    plain = sharding.shard(docs, ["doc_id", "text"], 4)
+    assert kept.filter(" AND ".join(f"{c} = {v}" for c, v in own.items())).count() == docs.count()
+    place = lambda df: collections.Counter((r.doc_id, r.shard, r.slot) for r in df.collect())
+    assert place(kept) == place(plain)
 
 
 @pytest.mark.parametrize("block", [1, 7, 1000])

@@ -91,6 +91,9 @@ def test_no_rules_no_rows_and_clashing_names(spark, pages):
     clashing = pages.selectExpr("*", "'x' AS host", "1 AS rule", "2 AS short", "3 AS digest", "4 AS rule_host")
     out = url_filter.judge(clashing, url_filter.rule_table(spark, url_filter.RULES))
     assert out.count() == pages.count() and out.filter("host = 'x'").count() == 0 and out.filter("short = 2").count() == pages.count()
+    own = {"_head": "h", "_best": "b", "_suffix": "s", "_prefix": "p", "_digest": "d", "rule_path": "r"}
+    out = url_filter.judge(pages.selectExpr("*", *[f"'{v}' AS {c}" for c, v in own.items()]), url_filter.rule_table(spark, url_filter.RULES))
+    assert out.filter(" AND ".join(f"{c} = '{v}'" for c, v in own.items())).count() == pages.count()
 
 
 def test_no_python_in_the_plan(spark):
