@@ -46,6 +46,17 @@ FROM clean GROUP BY pickup_month
 """
 
 STATEMENTS = {
+    "heavy_route_hours": over(
+        "clean",
+        body="""
+        SELECT PULocationID, DOLocationID, pickup_hour, count(*) AS trip_count FROM clean
+        GROUP BY ALL ORDER BY trip_count DESC, PULocationID, DOLocationID, pickup_hour LIMIT 20
+        """,
+    ),
+    "heavy_doors": """
+        SELECT l_partkey, l_suppkey, count(*) AS line_count FROM lineitem
+        GROUP BY ALL ORDER BY line_count DESC, l_partkey, l_suppkey LIMIT 25
+        """.strip(),
     "dist_passengers": over(
         "raw",
         body=f"""

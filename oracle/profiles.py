@@ -83,6 +83,8 @@ STATEMENTS = {
     ),
     "numeric_summary": over("raw", body=" UNION ALL ".join(_TRIP_METRICS)),
     "lineitem_numeric_summary": " UNION ALL ".join(_LINEITEM_METRICS).strip(),
+    "correlations_by_months": over("raw", body=_correlations(None)),
+    "sample_by_months": over("raw", body=_sample("raw", 1_000)),
     "correlations": over("raw", body=_correlations(None)),
     "correlations_sampled": over("raw", body=_correlations(2_000)),
     "sample_rows": over("raw", body=_sample("raw", 1_000)),

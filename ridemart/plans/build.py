@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ridemart.operators import cleaning, marts
 from ridemart.operators.columns import TripColumns, Window
+from ridemart.operators.sampling import sample_rows
 from ridemart.operators.states import daily_from_states, daily_states, hourly_from_states, hourly_states
 from ridemart.sources.marts import drop_partitions, read_parquet, stored_partitions, write_parquet
 from ridemart.sources.trips import read_trips
@@ -56,7 +57,7 @@ def _in_months(months: Iterable[tuple[int, int]]) -> Column:
     return reduce(Column.__or__, each, F.lit(False))
 
 
-def _stored_months(spark: SparkSession, path: str) -> set[tuple[int, int]]:
+def stored_months(spark: SparkSession, path: str) -> set[tuple[int, int]]:
     named = (dict(x.split("=") for x in p.split("/")) for p in stored_partitions(spark, path, 2))
     return {(int(p[YEAR]), int(p[MONTH])) for p in named}
 
@@ -90,7 +91,7 @@ def run(spark: SparkSession, source: str, target: str, window: Window, rebalance
 
     folded = []
     for name, states_of, fold in ((DAILY, daily_states, daily_from_states), (HOURLY, hourly_states, hourly_from_states)):
-        states = update_states(cleaned, _stored_months(spark, trips), f"{target}/{name}_states", states_of, set(months))
+        states = update_states(cleaned, stored_months(spark, trips), f"{target}/{name}_states", states_of, set(months))
         folded.append(write_parquet(fold(states), f"{target}/{name}"))
     return Tables(cleaned, cleaning.stage(cleaned), *folded)
 
@@ -102,10 +103,31 @@ def update_states(
 
     Months that have trips but no states, as after a run that was cut off, count as changed.
     """
-    spark = cleaned.sparkSession
-    have = _stored_months(spark, path)
-    stale = held & (changed | (held - have))
-    found = states_of(cleaning.stage(cleaned.filter(_in_months(stale))))
+    of_months = lambda stale: states_of(cleaning.stage(cleaned.filter(_in_months(stale))))
+    return _refreshed(cleaned.sparkSession, held, path, of_months, changed)
+
+
+def update_samples(
+    cleaned: DataFrame, held: set[tuple[int, int]], path: str, n: int, keys: Sequence[str], changed: set[tuple[int, int]], seed: int = 42
+) -> DataFrame:
+    """The ``n``-row sample of every stored month, of which those of changed months are drawn again.
+
+    ``sample_rows`` of these with the same seed is that of all trips: a row among the n smallest
+    hashes of all is among those of its month.
+    """
+
+    def of_months(stale: set[tuple[int, int]]) -> DataFrame:
+        drawn = [sample_rows(cleaned.filter(_in_months({m})), n, keys, seed) for m in sorted(stale)]
+        return reduce(DataFrame.unionByName, drawn, cleaned.limit(0))
+
+    return _refreshed(cleaned.sparkSession, held, path, of_months, changed)
+
+
+def _refreshed(
+    spark: SparkSession, held: set[tuple[int, int]], path: str, of_months: Callable[[set[tuple[int, int]]], DataFrame], changed: set[tuple[int, int]]
+) -> DataFrame:
+    have = stored_months(spark, path)
+    found = of_months(held & (changed | (held - have)))
     write_parquet(found.repartition(YEAR, MONTH), path, partition_by=[YEAR, MONTH], only_these_partitions=True)
     _drop_months(spark, path, have - held)
     return read_parquet(spark, path, found.schema)

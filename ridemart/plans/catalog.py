@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 
 from ridemart.functions import temporal as t
 from ridemart.functions.numeric import rounded, total
-from ridemart.operators import cleaning, marts, profile, quality, regression, reports, sampling, scoring, verify
+from ridemart.operators import (
+    cleaning, differences, distinct, heavy, marts, profile, quality, regression, reports, sampling, scoring, verify,
+)
 from ridemart.operators.columns import TripColumns, Window
 from ridemart.operators.rules import Rule
 from ridemart.plans import build, report_sets
@@ -209,7 +211,23 @@ def _lineitem_checks() -> list[Rule]:
     ]
 
 
+
+
+def _distinct_by_days(q: Inputs) -> DataFrame:
+    """Distinct values of each month from stored sketches of days, checked with the exact counts."""
+    at = TripColumns()
+    ride = F.concat_ws("|", at.origin, at.destination, t.hour(at.pickup), at.distance)
+    values = {"trips": F.col(*KEY), "rides": ride}
+    days = distinct.distinct_states(q.raw, [t.day_start(at.pickup).alias("day")], values)
+    kept = storage.write_parquet(days, shared_folder(q.spark, "distinct_days"))
+    about = distinct.estimated(distinct.merged(kept, [t.month("day").alias("month")]))
+    exact = q.raw.groupBy(t.month(at.pickup).alias("month")).agg(*[F.count_distinct(v).alias(n) for n, v in values.items()])
+    near = [distinct.within_bound(f"about_{n}", n).alias(f"{n}_in_bound") for n in values]
+    return about.join(exact, "month").select("month", "rows", *values, *near)
+
+
 QUALITY = {
+    "distinct_by_days": _distinct_by_days,
     "dq_null_counts": lambda q: quality.null_counts(q.raw),
     "dq_column_quality": lambda q: quality.column_quality(q.raw, list(quality.NULL_COUNT_NAMES)).orderBy(
         "column_name"
@@ -229,7 +247,32 @@ QUALITY = {
 
 # ---- profiling -------------------------------------------------------------------------
 
+
+
+def _sample_by_months(q: Inputs) -> DataFrame:
+    """A sample kept up by month: March and later arrive once the samples of the months before are stored."""
+    work, at = shared_folder(q.spark, "sampled_trips"), TripColumns().pickup
+    rows = q.raw.withColumns({build.YEAR: t.year(at), build.MONTH: t.month(at)})
+    late = F.col(at) >= F.lit("2024-03-01 00:00:00").cast("timestamp_ntz")
+    before: set[tuple[int, int]] = set()
+    for part in (rows.filter(~late), rows.filter(late)):
+        storage.write_parquet(part, f"{work}/trips", partition_by=[build.YEAR, build.MONTH], only_these_partitions=True)
+        held = build.stored_months(q.spark, f"{work}/trips")
+        stored = storage.read_parquet(q.spark, f"{work}/trips", rows.schema)
+        drawn = build.update_samples(stored, held, f"{work}/samples", 1_000, KEY, held - before)
+        before = held
+    return sampling.sample_rows(drawn, 1_000, KEY).drop(build.YEAR, build.MONTH)
+
+
+def _correlations_by_months(q: Inputs) -> DataFrame:
+    """The report on all trips from stored co-moments of months."""
+    path = shared_folder(q.spark, "co_moments")
+    return profile.correlations_of(storage.write_parquet(profile.correlation_states(q.raw), path))
+
+
 PROFILES = {
+    "sample_by_months": _sample_by_months,
+    "correlations_by_months": _correlations_by_months,
     "profile_fare": lambda q: profile.fare_profile(q.raw),
     "profile_distance": lambda q: profile.distance_profile(q.raw),
     "profile_tip": lambda q: profile.tip_profile(q.raw),
@@ -247,6 +290,8 @@ PROFILES = {
 # ---- distributions and breakdowns ------------------------------------------------------
 
 BREAKDOWNS = {
+    "heavy_route_hours": lambda q: heavy.top_groups(q.clean, ["PULocationID", "DOLocationID", "pickup_hour"], 20),
+    "heavy_doors": lambda q: heavy.top_groups(q.table("lineitem"), ["l_partkey", "l_suppkey"], 25, "line_count"),
     "dist_passengers": lambda q: reports.passenger_distribution(q.raw).orderBy("passenger_count"),
     "dist_payment": lambda q: reports.payment_distribution(q.raw).orderBy("payment_type"),
     "payment_split": lambda q: reports.payment_split(q.clean).orderBy("payment_type"),
@@ -364,7 +409,21 @@ MARTS = {
 
 # ---- mart verification -----------------------------------------------------------------
 
+
+
+def _with_faults(stg: DataFrame) -> DataFrame:
+    """Staged trips of which some are lost, some are charged more and some are stored twice."""
+    hour = F.col("pickup_hour")
+    rows = stg.filter((hour != 3) | (F.col("passenger_count") != 6) | (F.col("payment_type") != 2))
+    dearer = F.when((hour == 5) & (F.col("pickup_dow") == 2), F.col("fare_amount") + 1).otherwise(F.col("fare_amount"))
+    return rows.withColumn("fare_amount", dearer).union(rows.filter((hour == 11) & (F.col("payment_type") == 4)))
+
+
 VERIFICATION = {
+    "differing_trips": lambda q: differences.differing_keys(q.keyed_stg, _with_faults(q.keyed_stg), KEY),
+    "differing_days": lambda q: differences.differing_days(
+        q.keyed_stg, _with_faults(q.keyed_stg), KEY, t.day_start("pickup_at")
+    ),
     "mart_row_counts": lambda q: storage.list_tables(_tables(q)),
     "first_days": lambda q: verify.first_days(q.daily),
     "last_days": lambda q: verify.last_days(q.daily),
