@@ -114,6 +114,36 @@ STATEMENTS = {
     "pipeline_run": over("daily", body="SELECT * FROM daily"),
     "pipeline_rerun": over("daily", body="SELECT * FROM daily WHERE month(trip_date) <> 2"),
     "daily_by_months": over("daily", body="SELECT * FROM daily"),
-    "hourly_by_months": over("hourly", body="SELECT * FROM hourly"),
+    "hourly_by_months": over(
+        "stg",
+        body="""
+        SELECT pickup_hour, time_of_day, count(*) AS total_trips,
+          round(avg(fare_amount), 9) AS avg_fare, round(avg(trip_distance), 9) AS avg_distance,
+          round(avg(tip_pct), 9) AS avg_tip_pct, round(avg(avg_speed_mph), 9) AS avg_speed_mph
+        FROM stg
+        GROUP BY ALL
+        """,
+    ),
+    "curved_trips": over(
+        "clean",
+        body="""
+        SELECT PULocationID AS zone, date_trunc('day', tpep_pickup_datetime)::TIMESTAMP AS day,
+          count(*) AS trips, round(sum(total_amount), 6) AS revenue
+        FROM clean
+        WHERE PULocationID BETWEEN 100 AND 120
+          AND tpep_pickup_datetime >= TIMESTAMP '2024-02-10' AND tpep_pickup_datetime < TIMESTAMP '2024-03-10'
+        GROUP BY ALL
+        """,
+    ),
+    "curved_run": over(
+        "clean",
+        body="""
+        SELECT * EXCLUDE (trip_id, extra, mta_tax),
+          CAST(extract(year FROM tpep_pickup_datetime) AS INTEGER) AS pickup_year
+        FROM clean
+        WHERE PULocationID BETWEEN 100 AND 120
+          AND tpep_pickup_datetime >= TIMESTAMP '2024-02-10' AND tpep_pickup_datetime < TIMESTAMP '2024-03-10'
+        """,
+    ),
     "ingest_new": over("raw", body="SELECT * FROM raw"),
 }

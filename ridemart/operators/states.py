@@ -57,8 +57,8 @@ def merged(states: DataFrame) -> DataFrame:
     return states.groupBy(*[c for c in states.columns if c not in parts]).agg(*[F.sum(c).alias(c) for c in parts])
 
 
-def _mean(measure: str) -> Column:
-    return rounded(F.try_divide(F.sum(f"sum_{measure}"), F.sum(f"n_{measure}")))
+def _mean(measure: str, digits: int = 2) -> Column:
+    return rounded(F.try_divide(F.sum(f"sum_{measure}"), F.sum(f"n_{measure}")), digits)
 
 
 def _total(measure: str) -> Column:
@@ -78,12 +78,12 @@ def daily_from_states(states: DataFrame) -> DataFrame:
     )
 
 
-def hourly_from_states(states: DataFrame) -> DataFrame:
-    """The hourly mart of the trips that the states stand for."""
+def hourly_from_states(states: DataFrame, digits: int = 2) -> DataFrame:
+    """The hourly mart of the trips that the states stand for, means to so many digits."""
     return states.groupBy("pickup_hour", "time_of_day").agg(
         F.sum("trips").alias("total_trips"),
-        _mean("fare").alias("avg_fare"),
-        _mean("distance").alias("avg_distance"),
-        _mean("tip_pct").alias("avg_tip_pct"),
-        _mean("speed").alias("avg_speed_mph"),
+        _mean("fare", digits).alias("avg_fare"),
+        _mean("distance", digits).alias("avg_distance"),
+        _mean("tip_pct", digits).alias("avg_tip_pct"),
+        _mean("speed", digits).alias("avg_speed_mph"),
     )

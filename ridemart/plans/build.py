@@ -14,6 +14,7 @@ from ridemart.operators import cleaning, marts
 from ridemart.operators.columns import TripColumns, Window
 from ridemart.operators.sampling import sample_rows
 from ridemart.operators.states import daily_from_states, daily_states, hourly_from_states, hourly_states
+from ridemart.sources.layout import splits, write_along_curve
 from ridemart.sources.marts import drop_partitions, read_parquet, stored_partitions, write_parquet
 from ridemart.sources.trips import read_trips
 
@@ -66,14 +67,18 @@ def _drop_months(spark: SparkSession, path: str, months: Iterable[tuple[int, int
     drop_partitions(spark, path, [f"{YEAR}={y}/{MONTH}={m}" for y, m in months])
 
 
-def run(spark: SparkSession, source: str, target: str, window: Window, rebalance: bool = False) -> Tables:
+def run(
+    spark: SparkSession, source: str, target: str, window: Window, rebalance: bool = False, curve: Sequence[str] = ()
+) -> Tables:
     """Clean, store, aggregate, store. Staging stays a view over the stored trips.
 
     Trips are stored by year and month. A run replaces the months of its window (which should be
     whole months) and keeps the others; a month of the window without a row in ``source`` is
     emptied, once the new rows are stored. Beside each mart lie the partial aggregates it
     is folded from: only those of months that this run replaced, or that have none yet, are computed
-    from trips.
+    from trips. With ``curve``, such as pickup zone and time, the trips of a month lie along a
+    space-filling curve of these columns, so that filters on any of them read a part of it; this takes
+    three scans of the source and one shuffle.
     """
     trips, months = f"{target}/trips_cleaned", months_of(window)
     pickup = TripColumns().pickup
@@ -84,7 +89,12 @@ def run(spark: SparkSession, source: str, target: str, window: Window, rebalance
     )
     seen = Observation()
     observed = rows.observe(seen, *[F.count_if((F.col(YEAR) == y) & (F.col(MONTH) == m)).alias(f"{y}-{m}") for y, m in months])
-    write_parquet(observed, trips, partition_by=[YEAR, MONTH], rebalance=rebalance, only_these_partitions=True)
+    if curve:
+        borders = splits(rows, curve)
+        write_along_curve(observed, trips, curve, [YEAR, MONTH], only_these_partitions=True, borders=borders)
+    else:
+        write_parquet(observed, trips, partition_by=[YEAR, MONTH], rebalance=rebalance, only_these_partitions=True)
+    # Sampling for ranges may count rows twice; only whether there are any is looked at.
     empty = {(y, m) for y, m in months if not seen.get[f"{y}-{m}"]}
     _drop_months(spark, trips, empty)
     cleaned = read_parquet(spark, trips, rows.schema)

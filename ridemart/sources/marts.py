@@ -35,7 +35,8 @@ def write_parquet(
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read with a given schema, which also fixes the types of partition columns."""
-    return spark.read.schema(schema).parquet(path).select(*[f.name for f in schema.fields])
+    names = [f.name.replace("`", "``") for f in schema.fields]
+    return spark.read.schema(schema).parquet(path).select(*[f"`{name}`" for name in names])
 
 
 def _folder(spark: SparkSession, path: str):
