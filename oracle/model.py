@@ -31,14 +31,17 @@ def _with_counts(body: str) -> str:
     return over("clean", body="") + "," + _COUNTS + body
 
 
-def _trees(n: int) -> str:
+def _trees(size: str, more: str = "") -> str:
     return _with_counts(
-        f"SELECT *, {n}::INTEGER AS n_trees, true AS r2_in_band, true AS mae_up_to_rmse FROM counts"
+        f"SELECT *, {size}, true AS r2_in_band, true AS mae_up_to_rmse{more} FROM counts"
     )
 
 
-# The candidates in order, the model inputs, and the request bounds.
-_MODELS = ["LinearRegression", "RandomForest", "GradientBoosting"]
+# The candidates in order with trees and depth, the model inputs, and the request bounds.
+_NO_TREES = "0::INTEGER AS n_trees, 0::INTEGER AS tree_depth"
+_FOREST = "100::INTEGER AS n_trees, 10::INTEGER AS tree_depth"
+_BOOSTING = "100::INTEGER AS n_trees, 5::INTEGER AS tree_depth"
+_MODELS = [("LinearRegression", _NO_TREES), ("RandomForest", _FOREST), ("GradientBoosting", _BOOSTING)]
 _FEATURES = [
     "trip_distance", "passenger_count", "pickup_hour", "pickup_dow", "pickup_month", "pickup_location_id",
     "dropoff_location_id", "payment_type", "trip_duration_min", "avg_speed_mph", "time_of_day_enc",
@@ -104,17 +107,17 @@ STATEMENTS = {
     "lr_metrics": _with_counts(
         "SELECT *, true AS r2_in_band, true AS mean_residual_zero, true AS residuals_orthogonal FROM counts"
     ),
-    "rf_metrics": _trees(100),
-    "gbt_metrics": _trees(100),
+    "rf_metrics": _trees(_FOREST),
+    "gbt_metrics": _trees(_BOOSTING, ", true AS loss_never_rises"),
     "model_leaderboard": _with_counts(
         f"""
-        SELECT position, model_type, counts.*, true AS r2_in_band, true AS best_has_least_mae,
+        SELECT m.*, counts.*, true AS r2_in_band, true AS best_has_least_mae,
           1::BIGINT AS n_best, true AS reloaded_the_same
-        FROM counts, (VALUES {", ".join(f"({i}, '{m}')" for i, m in enumerate(_MODELS))}) AS m(position, model_type)
+        FROM counts, ({" UNION ALL ".join(f"SELECT {i} AS position, '{m}' AS model_type, {size}" for i, (m, size) in enumerate(_MODELS))}) AS m
         """
     ),
     "feature_importance": f"""
-        SELECT feature, true AS not_negative, true AS sum_is_one, feature = 'trip_distance' AS is_largest
+        SELECT feature, true AS not_negative, true AS sum_is_one, feature = 'trip_distance' AS is_largest, {_BOOSTING}
         FROM (VALUES {", ".join(f"('{f}')" for f in _FEATURES)}) AS f(feature)
     """,
     "score_validation": over("features", body=_VALIDATED),

@@ -147,6 +147,26 @@ def least_squares_conditions(predicted: DataFrame, label: str = LABEL, tolerance
     )
 
 
+def tree_size(model: PipelineModel) -> tuple[int, int]:
+    """Number of trees of a fit and depth of the deepest; both 0 for a model without trees."""
+    trees = getattr(model.stages[-1], "trees", [])
+    return len(trees), max((tree.depth for tree in trees), default=0)
+
+
+def loss_by_round(model: PipelineModel, rows: DataFrame) -> list[float]:
+    """Mean squared error of a boosting on the rows after each of its rounds, one pass."""
+    return model.stages[-1].evaluateEachIteration(PipelineModel(model.stages[:-1]).transform(rows), "squared")
+
+
+def never_rises(losses: Sequence[float], tolerance: float = 1e-9) -> bool:
+    """Whether each round lowers the loss or leaves it, and all of them together lower it.
+
+    Holds for squared error on the training rows, where each leaf adds a part of its mean residual.
+    """
+    allowed = tolerance * max(losses, default=0.0)
+    return all(b <= a + allowed for a, b in zip(losses, losses[1:])) and len(losses) > 1 and losses[-1] < losses[0]
+
+
 def leaderboard(fitted: Fitted, test: DataFrame) -> DataFrame:
     """One row per model in the order given: held-out metrics, and whether it is the best.
 

@@ -522,15 +522,23 @@ def _line(q: Inputs) -> DataFrame:
 
 def _trees(name: str) -> Callable[[Inputs], DataFrame]:
     def run(q: Inputs) -> DataFrame:
-        """Rows of both parts, size of the fit, and whether it is good on held-out rows."""
-        fitted, _, test = _fitted(q, name)
+        """Rows of both parts, size of the fit, and whether it is good on held-out rows.
+
+        Of boosting also whether its loss on the training rows never rises.
+        """
+        fitted, train, test = _fitted(q, name)
         model = fitted.models[name]
+        n_trees, depth = regression.tree_size(model)
+        boosts = name == "GradientBoosting"
+        falls = [F.lit(regression.never_rises(regression.loss_by_round(model, train))).alias("loss_never_rises")] if boosts else []
         return regression.evaluate(model.transform(test)).select(
             F.lit(fitted.train_rows).cast("long").alias("n_train_rows"),
             F.col("n_rows").alias("n_test_rows"),
-            F.lit(model.stages[-1].getNumTrees).alias("n_trees"),
+            F.lit(n_trees).alias("n_trees"),
+            F.lit(depth).alias("tree_depth"),
             (F.col("r2") > LEAST_R2).alias("r2_in_band"),
             ((F.col("mae") > 0) & (F.col("mae") <= F.col("rmse"))).alias("mae_up_to_rmse"),
+            *falls,
         )
 
     return run
@@ -544,9 +552,11 @@ def _leaderboard(q: Inputs) -> DataFrame:
     regression.save_best(fitted, board, path)
     again = regression.evaluate(regression.load_model(path).transform(test)).first()
     whole = W.partitionBy()  # a row per candidate
+    sizes = [regression.tree_size(fitted.models[name]) for name in fitted.models]  # in board order
+    n_trees, depth = (F.element_at(F.lit([size[k] for size in sizes]), F.col("position") + 1) for k in (0, 1))
     same = (F.abs(F.col("mae") - again["mae"]) < 1e-9) & (F.abs(F.col("rmse") - again["rmse"]) < 1e-9)
     return board.select(
-        "position", "model_type", "n_train_rows", "n_test_rows",
+        "position", "model_type", "n_train_rows", "n_test_rows", n_trees.alias("n_trees"), depth.alias("tree_depth"),
         (F.col("r2") > LEAST_R2).alias("r2_in_band"),
         (F.col("is_best") == (F.col("mae") == F.min("mae").over(whole))).alias("best_has_least_mae"),
         F.count_if("is_best").over(whole).alias("n_best"),
@@ -555,13 +565,16 @@ def _leaderboard(q: Inputs) -> DataFrame:
 
 
 def _importance(q: Inputs) -> DataFrame:
-    board = regression.feature_importance(_fitted(q, "GradientBoosting")[0].models["GradientBoosting"], q.spark)
+    model = _fitted(q, "GradientBoosting")[0].models["GradientBoosting"]
+    board, (n_trees, depth) = regression.feature_importance(model, q.spark), regression.tree_size(model)
     whole = W.partitionBy()  # a row per feature
     return board.select(
         "feature",
         (F.col("importance") >= 0).alias("not_negative"),
         (F.abs(F.sum("importance").over(whole) - 1) < 1e-9).alias("sum_is_one"),
         (F.col("importance") == F.max("importance").over(whole)).alias("is_largest"),
+        F.lit(n_trees).alias("n_trees"),
+        F.lit(depth).alias("tree_depth"),
     )
 
 

@@ -46,16 +46,48 @@ def test_no_query_pairs_rows_without_a_key(spark, name):
     assert "PythonUDF" not in plan and "ArrowEvalPython" not in plan
 
 
-@pytest.mark.parametrize("name", FITTING)
-def test_fits_meet_their_conditions(spark, duck, name, monkeypatch):
-    """The registered queries fit full-size candidates; here the same conditions hold of small ones."""
+SMALL = {"forest_trees": 8, "forest_depth": 6, "boosting_rounds": 8, "boosting_depth": 5}
+
+
+def fit_differs(spark, duck, name, monkeypatch, **changed):
+    """How a query of candidates of the given size differs from its SQL for small ones."""
     from ridemart.operators import regression
 
     full = regression.regressors
-    few = {"forest_trees": 8, "forest_depth": 6, "boosting_rounds": 8}
-    monkeypatch.setattr(regression, "regressors", lambda **given: full(**{**few, **given}))
+    monkeypatch.setattr(regression, "regressors", lambda **given: full(**{**SMALL, **changed, **given}))
     sql = ORACLES[name].replace("100::INTEGER AS n_trees", "8::INTEGER AS n_trees")
-    assert difference(QUERIES[name](spark, DATA).toArrow(), duck.sql(sql).to_arrow_table()) is None
+    sql = sql.replace("10::INTEGER AS tree_depth", "6::INTEGER AS tree_depth")
+    return difference(QUERIES[name](spark, DATA).toArrow(), duck.sql(sql).to_arrow_table())
+
+
+@pytest.mark.parametrize("name", FITTING)
+def test_fits_meet_their_conditions(spark, duck, name, monkeypatch):
+    """The registered queries fit full-size candidates; here the same conditions hold of small ones."""
+    assert fit_differs(spark, duck, name, monkeypatch) is None
+
+
+@pytest.mark.parametrize(
+    "name, changed",
+    [
+        ("rf_metrics", {"forest_depth": 1}),
+        ("rf_metrics", {"forest_trees": 1}),
+        ("gbt_metrics", {"boosting_depth": 1}),
+        ("gbt_metrics", {"boosting_rounds": 1}),
+        ("model_leaderboard", {"forest_depth": 1}),
+        ("model_leaderboard", {"boosting_rounds": 1}),
+        ("feature_importance", {"boosting_depth": 1}),
+        ("feature_importance", {"boosting_rounds": 1}),
+    ],
+)
+def test_stunted_fits_fail_their_conditions(spark, duck, name, changed, monkeypatch):
+    assert fit_differs(spark, duck, name, monkeypatch, **changed) is not None
+
+
+def test_rising_losses_are_noticed():
+    from ridemart.operators.regression import never_rises
+
+    assert never_rises([4.0, 2.0, 2.0, 1.0])
+    assert not never_rises([4.0, 2.0, 2.1]) and not never_rises([4.0, 4.0]) and not never_rises([4.0]) and not never_rises([])
 
 
 def test_results_do_not_depend_on_the_session_zone(spark, duck):
