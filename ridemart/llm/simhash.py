@@ -22,7 +22,9 @@ Links are joined into components by alternating star contraction.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from itertools import combinations
+from typing import TYPE_CHECKING
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,6 +34,9 @@ from pyspark.sql.types import LongType
 
 from ridemart.llm.common import stored
 
+if TYPE_CHECKING:
+    import numpy as np
+
 #: Fingerprints link when at most this many bits differ. The cells below are made for two.
 MAX_BITS = 2
 #: Words of a shingle.
@@ -60,13 +65,19 @@ def fingerprint_of(text: bytes | None, words: int = SHINGLE) -> int:
         starts, ends = starts[: len(found) - words + 1], ends[words - 1 :]
     else:
         starts, ends = starts[:1], ends[-1:]
-    counts = np.zeros(64, np.int64)
-    for at in range(0, len(starts), CHUNK):
-        spans = zip(starts[at : at + CHUNK].tolist(), ends[at : at + CHUNK].tolist(), strict=True)
-        hashes = np.array([xxh64_intdigest(joined[a:b], SEED) for a, b in spans], ">u8")
-        counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
-    bits = counts * 2 > len(starts)
-    return int.from_bytes(np.packbits(bits).tobytes(), "big")
+    spans = lambda at: zip(starts[at : at + CHUNK].tolist(), ends[at : at + CHUNK].tolist(), strict=True)
+    return majority(np.array([xxh64_intdigest(joined[a:b], SEED) for a, b in spans(at)], np.uint64) for at in range(0, len(starts), CHUNK))
+
+
+def majority(chunks: Iterable[np.ndarray]) -> int:
+    """The bits set in over half of the 64-bit hashes; zero without hashes."""
+    import numpy as np
+
+    counts, hashes = np.zeros(64, np.int64), 0
+    for chunk in chunks:
+        counts += np.unpackbits(chunk.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
+        hashes += len(chunk)
+    return int.from_bytes(np.packbits(counts * 2 > hashes).tobytes(), "big")
 
 
 def with_fingerprint(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -126,6 +137,11 @@ def _cells() -> Column:
     return F.transform(chosen, lambda choice, k: packed(choice) * 16 + k)
 
 
+def furthest(row_a: str | Column, row_b: str | Column) -> Column:
+    """The largest difference of two table rows in a coordinate; never above the Hamming distance."""
+    return F.array_max(F.zip_with(row_a, row_b, lambda x, y: F.abs(x - y)))
+
+
 def links(table: DataFrame, cell: int = CELL) -> DataFrame:
     """Edges (a, b) whose components are those of all pairs within ``MAX_BITS`` bits.
 
@@ -139,11 +155,10 @@ def links(table: DataFrame, cell: int = CELL) -> DataFrame:
     small = members.filter(F.col("members") <= cell).withColumn("row", distances("fingerprint"))
     left = small.select("cell", F.col("fingerprint").alias("a"), F.col("row").alias("row_a"))
     right = small.select("cell", F.col("fingerprint").alias("b"), F.col("row").alias("row_b"))
-    furthest = F.array_max(F.zip_with("row_a", "row_b", lambda x, y: F.abs(x - y)))
     verified = (
         left.join(right, "cell")
         .filter(F.col("a") < F.col("b"))
-        .filter(furthest <= MAX_BITS)
+        .filter(furthest("row_a", "row_b") <= MAX_BITS)
         .filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MAX_BITS)
         .select("a", "b")
     )
