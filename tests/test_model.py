@@ -172,3 +172,28 @@ def test_least_squares_conditions_tell_a_wrong_line(spark, fitted):
     tilted = predicted.withColumn("prediction", F.col("prediction") + (F.col("trip_distance") - 12) / 100)
     assert not regression.least_squares_conditions(moved).first()["mean_residual_zero"]
     assert not regression.least_squares_conditions(tilted).first()["residuals_orthogonal"]
+
+
+def test_candidates_are_fitted_side_by_side(spark):
+    """Two candidates that wait for each other are both fitted, and keep their names."""
+    import threading
+
+    both = threading.Barrier(2, timeout=20)
+
+    class Waiting:
+        def __init__(self, regressor):
+            self.regressor = regressor
+
+        def fit(self, rows):
+            both.wait()
+            return self.regressor.fit(rows)
+
+    rows = spark.range(60).select(
+        *[F.lit(1).alias(c) for c in regression.INPUTS if c not in ("trip_distance", "time_of_day")],
+        (F.col("id") / 10).alias("trip_distance"),
+        F.element_at(F.array(F.lit("off_peak"), F.lit("morning_rush")), (F.col("id") % 2 + 1).cast("int")).alias("time_of_day"),
+        (F.col("id") / 10 * 2.5 + 3).alias("fare_amount"),
+    )
+    made = regression.regressors(forest_trees=2, forest_depth=2)
+    fitted = regression.train_all(rows, {name: Waiting(made[name]) for name in ("RandomForest", "LinearRegression")})
+    assert [(name, regression.tree_size(model)[0]) for name, model in fitted.models.items()] == [("RandomForest", 2), ("LinearRegression", 0)]
