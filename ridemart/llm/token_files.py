@@ -41,10 +41,10 @@ END_ID = 1
 INDEX_MAGIC, SEEK_MAGIC, SEEKABLE_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 WITH_CHECKSUMS = 0x80
 
-#: Words and pieces a worker remembers before it starts afresh (about 100 MB).
-REMEMBERED = 600_000
-#: Words encoded in one call, and characters of texts whose new words are learnt together.
-TOGETHER, CHARACTERS = 1_000, 1 << 20
+#: Words a worker remembers (about 100 MB), and the characters in them for each of these words.
+REMEMBERED, LONG = 600_000, 32
+#: Words encoded in one call, and bytes of texts whose words are looked up together.
+TOGETHER, CHARACTERS = 1_000, 1 << 22
 
 
 class CorruptFile(ValueError):
@@ -55,21 +55,37 @@ class CorruptFile(ValueError):
 
 #: Marks that are split from the end of a word; a letter or digit before them ends a piece anyway.
 MARKS = ".,!?;:*#$%&"
+#: Alternatives of a split that keep a run of letters in one piece, besides those that begin with a quote.
+CLASSES = {r"[\p{L}]+", r"[\p{N}]", r"[\p{N}]+", r"[^\s\p{L}\p{N}]+"}
+#: Letters below this one are composed already, and lower-casing them does not depend on their neighbours.
+LATIN = "\u0250"
+
+
+def _latin(word: str) -> bool:
+    """Whether all letters are Latin ones; not the dotted capital I, whose dot lower-casing sets free."""
+    return word.isascii() or max(word) < LATIN and "\u0130" not in word
 
 
 class Encoder:
     """Ids of whole texts by a tokenizer that drops white space, with words remembered.
 
     For a tokenizer whose pre-tokenizer never joins characters across a space, the ids of a text
-    are those of its words one after another. So each distinct word is encoded once a worker,
-    without the marks at its end, and an ASCII word in lower case if the tokenizer lowers. ``safe`` says whether the tokenizer's file describes such a tokenizer; if not,
-    whole texts are encoded.
+    are those of its words one after another. So the words of many texts are made distinct by
+    Arrow, each distinct word that is not remembered is encoded once, and the ids of the texts are
+    gathered from theirs. Words are learnt without the marks at their end, and Latin ones in lower
+    case if the tokenizer lowers. ``safe`` says whether the tokenizer's file describes such a
+    tokenizer; if not, whole texts are encoded.
+
+    Words are remembered in two generations: when the younger is full it becomes the older one, and
+    only words that are met again are carried over, without being encoded anew.
     """
 
     def __init__(self, path: str):
         import json
         import os
 
+        import numpy as np
+
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -81,84 +97,162 @@ class Encoder:
         # Pieces are letters, single digits or marks, and white space is in none of them.
         self.safe = "[^\\\\s\\\\p{L}\\\\p{N}]+" in steps[0] and "'invert': True" in steps[0] and "add_prefix_space': False" in steps[0]
         self.marks = {t["content"] for t in made.get("added_tokens", [])}
-        self.safe = self.safe and not any(re.search(r"\s", t) for t in self.marks)
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-        self._forget()
-
-    def _forget(self) -> None:
-        self.words.clear()
-        self.pieces.clear()
-        self.words[""] = b""
+        self.safe = self.safe and all("<" in t and not re.search(r"\s", t) for t in self.marks)
+        self.letters = self._letters_only(made) if self.safe else None
+        model = made["model"]
+        #: Whether an id ends a piece, by the suffix of such ids.
+        self.ends = np.zeros(max([*model.get("vocab", {}).values(), -1]) + 1 if self.letters else 0, bool)
+        if self.letters:
+            self.ends[[i for t, i in model["vocab"].items() if t.endswith(model["end_of_word_suffix"])]] = True
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.characters = 0
 
+    def _letters_only(self, made: dict):
+        """The same tokenizer for words of lower-case Latin letters, which no step before the model changes or splits; or none."""
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        normalizer, split, model = made["normalizer"] or {}, made["pre_tokenizer"], made["model"]
+        changes = normalizer.get("normalizers", [normalizer] if normalizer else [])
+        spaces = [c for c in changes if c["type"] == "Replace" and c["pattern"] == {"Regex": r"\s+"} and c["content"] == " "]
+        steps = split.get("pretokenizers", [])
+        if (
+            any(c["type"] not in ("NFC", "Lowercase") for c in changes if c not in spaces)
+            or [t["type"] for t in steps] != ["Split", "ByteLevel"]
+            or steps[1]["use_regex"]
+            or any(a[:1] != "'" and a not in CLASSES for a in steps[0]["pattern"].get("Regex", "?").split("|"))
+            or r"[\p{L}]+" not in steps[0]["pattern"]["Regex"].split("|")
+            or model["type"] != "BPE"
+            or model.get("dropout")
+            or not model.get("end_of_word_suffix")
+        ):
+            return None
+        plain = Tokenizer.from_str(self.tokenizer.to_str())
+        plain.normalizer = None
+        plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        return plain
+
     def _whole(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in encoded]
 
     def _letters(self, words: list[str]) -> list[bytes]:
-        """Words of letters only, each of which the pre-tokenizer leaves whole, encoded as one text."""
-        found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
-        ids, owners = found.ids, found.word_ids
-        starts = [k for k, owner in enumerate(owners) if k == 0 or owner != owners[k - 1]]
-        if len(starts) != len(words):  # a word that is more than one piece
+        """Words of lower-case Latin letters, encoded as one text, whose ids are parted where a piece ends."""
+        import numpy as np
+
+        found = self.letters.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids
+        ids = np.array(found, np.uint32)
+        ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+        if len(ends) != len(words) or ends[-1] != 4 * len(ids):
             return self._whole(words)
-        packed, ends = array("I", ids).tobytes(), [*starts[1:], len(ids)]
-        return [packed[4 * a : 4 * b] for a, b in zip(starts, ends, strict=True)]
-
-    def _learn(self, unknown: set[str]) -> None:
-        pieces, lowers = self.pieces, self.lowers
-        plain = [w for w in unknown if w.isalpha()]
-        heads = [w.lower() if w.isascii() else w for w in plain] if lowers else plain
-        new, parts = set(heads).difference(pieces), []
-        for word in unknown.difference(plain):
+        packed = ids.tobytes()
+        return [packed[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+
+    def _learn(self, unknown: list[str]) -> None:
+        """Adds the words to the young generation, and the heads and tails they were made of."""
+        known, lowers, letters = self.young, self.lowers, self.letters is not None
+        parts, plain, others = [], set(), set()
+        for word in unknown:
             head = word
-            if "<" not in word:  # which may begin a special token
+            if not word.isalpha():
+                if "<" in word:  # which may begin a special token
+                    others.add(word)
+                    continue
+                # Normalising may turn a letter that is not Latin into one with a combining mark,
+                # which would make one piece with the marks after it.
                 bare = word.rstrip(MARKS)
-                # Normalising may turn any other letter into one with a combining mark, which would
-                # make one piece with the marks after it.
-                if bare and bare[-1].isascii() and bare[-1].isalnum():
+                last = bare[-1:]
+                if last.isalnum() and (last.isascii() or letters and last.isalpha() and _latin(last)):
                     head = bare
-                if lowers and head.isascii():
-                    head = head.lower()
             tail = word[len(head) :]
-            parts.append((word, head, tail))
-            if head not in pieces:
-                new.add(head)
-            if tail and tail not in pieces:
-                new.add(tail)
-        letters = [p for p in new if p.isalpha()]
-        for at in range(0, len(letters), TOGETHER):
-            some = letters[at : at + TOGETHER]
-            pieces.update(zip(some, self._letters(some), strict=True))
-        others = [p for p in new if not p.isalpha()]
-        pieces.update(zip(others, self._whole(others), strict=True))
-        self.words.update(zip(plain, map(pieces.__getitem__, heads), strict=True))
-        self.words.update((word, pieces[head] + pieces[tail] if tail else pieces[head]) for word, head, tail in parts)
-        self.characters += sum(map(len, unknown))
+            latin = head.isascii() or letters and _latin(head)
+            if latin and lowers:
+                head = head.lower()
+            if head not in known:
+                (plain if latin and letters and head.isalpha() else others).add(head)
+            if tail and tail not in known:
+                others.add(tail)
+            if tail or head != word:
+                parts.append((word, head, tail))
+        new, rest = list(plain), list(others)
+        for at in range(0, len(new), TOGETHER):
+            some = new[at : at + TOGETHER]
+            known.update(zip(some, self._letters(some), strict=True))
+        known.update(zip(rest, self._whole(rest), strict=True))
+        for word, head, tail in parts:
+            known[word] = known[head] + known[tail] if tail else known[head]
+        self.characters += sum(map(len, new)) + sum(map(len, rest)) + sum(len(word) for word, _, _ in parts)
+
+    def _ids(self, words: list[str]) -> list[bytes]:
+        """The ids of each of some distinct words."""
+        known, older = self.young, self.old
+        found = list(map(known.get, words))
+        missing = [k for k, ids in enumerate(found) if ids is None]
+        new = []
+        for k in missing:
+            word = words[k]
+            ids = older.get(word)
+            if ids is None:
+                new.append(word)
+            else:
+                known[word] = ids
+                self.characters += len(word)
+        self._learn(new)
+        for k in missing:
+            found[k] = known[words[k]]
+        if 2 * len(known) > REMEMBERED or 2 * self.characters > LONG * REMEMBERED:
+            self.old, self.young, self.characters = known, {}, 0
+        return found
 
     def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
-        """The ids of each text as native unsigned 32-bit integers; new words are learnt together."""
+        """The ids of each text as native unsigned 32-bit integers."""
+        import pyarrow as pa
+
         held, size = [], 0
         for text in texts:
             held.append(text)
             size += len(text)
             if size >= CHARACTERS:
-                yield from self._some(held)
+                yield from self.encode_column(pa.array(held, pa.large_string()))
                 held, size = [], 0
-        yield from self._some(held)
+        yield from self.encode_column(pa.array(held, pa.large_string()))
+
+    def encode_column(self, texts) -> Iterator[bytes]:
+        """The same for an Arrow array of strings without nulls; some texts at a time."""
+        import numpy as np
+        import pyarrow.compute as pc
+
+        past = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < len(texts):
+            done = int(past[at - 1]) if at else 0
+            stop = min(len(texts), int(np.searchsorted(past, done + CHARACTERS)) + 1)
+            yield from self._some(texts.slice(at, stop - at))
+            at = stop
+
+    def _some(self, texts) -> Iterator[bytes]:
+        import numpy as np
+        import pyarrow.compute as pc
 
-    def _some(self, texts: list[str]) -> list[bytes]:
         if not self.safe:
-            return self._whole(texts)
-        split = [text.replace("\n", " ").split(" ") for text in texts]
-        known = self.words
-        unknown = set().union(*split).difference(known)
-        if unknown and (len(known) > REMEMBERED or self.characters > 32 * REMEMBERED):
-            self._forget()
-            unknown = set().union(*split).difference(known)
-        self._learn(unknown)
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+            yield from self._whole(texts.to_pylist())
+            return
+        split = pc.ascii_split_whitespace(texts)
+        coded = split.flatten().dictionary_encode()
+        found = self._ids(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        starts, ids = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(found), np.uint32)
+        words = coded.indices.to_numpy()
+        # Where each word's ids lie among those of all words, and in the text.
+        counts = sizes[words]
+        past = np.concatenate(([0], np.cumsum(counts)))
+        gathered = ids[np.repeat(starts[words] - past[:-1], counts) + np.arange(past[-1])].tobytes()
+        lists = np.concatenate(([0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))))
+        edges = (4 * past[lists]).tolist()
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            yield gathered[a:b]
 
 
 @lru_cache(maxsize=2)
@@ -334,7 +428,7 @@ def write(
 
         store, root = filesystem(folder)
         store.create_dir(root, recursive=True)
-        encode = encoder(tokenizer).encode
+        encode = encoder(tokenizer).encode_column
         part, closed, out, path = TaskContext.get().partitionId(), [], None, ""
         end = np.uint32(END_ID).tobytes()
 
@@ -343,8 +437,7 @@ def write(
             closed.append({"path": path, "part": part, "place": len(closed), "docs": len(out.docs), "ids": out.ids})
 
         for batch in batches:
-            encoded = encode(text.as_py() for text in batch.column(1))
-            for key, ids in zip(batch.column(0).to_pylist(), encoded, strict=True):
+            for key, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1)), strict=True):
                 if out is None:
                     path = new_file(root, ".ids.zst")
                     out = Writer(store.open_output_stream(path, compression=None))

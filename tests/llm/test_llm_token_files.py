@@ -37,6 +37,41 @@ def test_word_memory_gives_the_ids_of_whole_texts(direct, monkeypatch):
         assert [np.frombuffer(b, np.uint32).tolist() for b in encoder.encode(texts)] == want
 
 
+def test_words_met_again_are_not_encoded_again(monkeypatch):
+    monkeypatch.setattr(files, "CHARACTERS", 100)
+    monkeypatch.setattr(files, "REMEMBERED", 100)
+    encoder, learnt, learn = files.Encoder(TOKENIZER), [], files.Encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda words: (learnt.extend(words), learn(encoder, words))[1])
+    texts = [f"Common {'x' * (k % 40)}{chr(97 + k % 26)}{chr(97 + k // 26)} words." for k in range(600)]
+    assert sum(1 for _ in encoder.encode(texts)) == 600
+    assert learnt.count("Common") == learnt.count("words.") == 1
+    # What is remembered stays bounded all the same.
+    assert len(encoder.young) + len(encoder.old) < 150
+
+
+def test_latin_letters_without_the_steps_before_the_model(direct):
+    encoder = files.Encoder(TOKENIZER)
+    assert encoder.letters is not None
+    letters = [chr(c) for c in range(0x21, 0x260)] + ["\u0301", "\u0323", "\u00a0", "\x1c", "\r", "\v"]
+    texts = [f"{a} {a}. {a}b{a}!! x{a} {a.upper()}'S{a}#, {a}\u0301. {a}1 <{a}|" for a in letters]
+    rng = random.Random(5)
+    texts += [" ".join("".join(rng.choices(letters, k=rng.randrange(1, 9))) + rng.choice(["", ".", "...", "&&&"]) for _ in range(20)) for _ in range(400)]
+    assert [np.frombuffer(b, np.uint32).tolist() for b in encoder.encode(texts)] == [direct(t) for t in texts]
+    # Letters are known to be in one piece, so the shorter way was taken.
+    assert encoder._letters(["haus", "stra\u00dfe", "ni\u00f1o"]) == encoder._whole(["haus", "stra\u00dfe", "ni\u00f1o"])
+
+
+def test_special_tokens_that_look_like_words_take_whole_texts(tmp_path):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    tokenizer.add_special_tokens(["[END]."])
+    tokenizer.save(path := str(tmp_path / "other.json"))
+    texts = ["a [END]. b", "A[END].[end]."]
+    got = [np.frombuffer(b, np.uint32).tolist() for b in files.Encoder(path).encode(texts)]
+    assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_other_tokenizers_take_whole_texts():
     import public_tokenizers
     from tokenizers import Tokenizer
