@@ -95,6 +95,25 @@ def test_edited_copies_and_junk(spark, seed, length):
     assert found_rows(docs, length) == slow_rows(rows, length)
 
 
+def test_cuts_of_a_very_common_core_are_dealt_out(spark):
+    rng = random.Random(9)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    passage = " ".join(word() for _ in range(120))
+    junk = [" ".join(word() for _ in range(40)) + "ha " * rng.randrange(500, 900) for _ in range(20)]
+    held = [" ".join([*(word() for _ in range(40)), passage, *(word() for _ in range(40))]) for _ in range(200)]
+    rows = [(i, t.encode()) for i, t in enumerate([*junk, *held, *(" ".join(word() for _ in range(150)) for _ in range(50))])]
+    cuts, cores = Cuts(), Counter()
+    for i, data in rows:
+        for k, a in enumerate(cuts.of(data).tolist()):
+            if a >= cuts.lead and a + cuts.compared <= len(data):
+                cores[data[a - cuts.lead : a - cuts.lead + cuts.core]] += 1
+    texts = spark.createDataFrame(rows, "text long, data binary").repartition(5)
+    assert max(cores.values()) >= 200
+    assert suffix_dedup._shared(texts, cuts).count() == sum(n for n in cores.values() if n > 1)
+    largest = suffix_dedup._cores(texts, cuts).groupBy("core").count().agg({"count": "max"}).first()[0]
+    assert largest <= 5  # one of each task
+
+
 def test_whole_table_with_awkward_rows(spark):
     rng = random.Random(8)
     text = lambda n: " ".join(f"w{rng.randrange(4000)}" for _ in range(n))
