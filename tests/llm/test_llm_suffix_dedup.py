@@ -6,6 +6,7 @@ from hashlib import sha256
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ridemart.llm import suffix_dedup
 from ridemart.llm.suffix_dedup import Cuts
@@ -114,6 +115,47 @@ def test_cuts_of_a_very_common_core_are_dealt_out(spark):
     assert largest <= 5  # one of each task
 
 
+@pytest.fixture
+def ranges_apart(spark):
+    """Ranges of few rows are not put together."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_ranks_where_a_symbol_fills_ranges(spark, ranges_apart, monkeypatch):
+    strings, purposes, counted = [[3] * (20 + t % 7) + [t % 2] for t in range(60)], [], suffix_dedup._counted
+    monkeypatch.setattr(suffix_dedup, "_counted", lambda *a: purposes.append(a[-1]) or counted(*a))
+    rows = [(t, i, s, 1, True) for t, string in enumerate(strings) for i, s in enumerate(string)]
+    symbols = spark.createDataFrame(rows, "text long, place long, symbol long, size long, more boolean")
+    ranks = [((r.text, r.place), r["rank"]) for r in suffix_dedup.suffix_ranks(symbols, 1000).collect()]
+    suffixes = {(t, i): tuple(strings[t][i:]) for t, i, *_ in rows}
+    ordered = sorted(suffixes.values())
+    assert dict(ranks) == {k: ordered.index(v) for k, v in suffixes.items()}
+    assert "suffix_inner" in purposes
+
+
+def test_equal_keys_fill_many_ranges(spark, ranges_apart):
+    rng = random.Random(5)
+    keys = [(7, 7)] * 3000 + [(rng.randrange(12), rng.randrange(12)) for _ in range(600)] + [(99, 0)]
+    rows = [(i % 40, i // 40, x, y, rng.random() < 0.3) for i, (x, y) in enumerate(keys)]
+    table = spark.createDataFrame(rows, "text long, place long, x long, y long, mark boolean").repartition(6)
+    counted = suffix_dedup._counted(table, ["x", "y"], F.col("mark"), ["text", "place"], "test_counted")
+    before = {k: (sum(o < k for o in keys), sum(r[4] for r in rows if r[2:4] < k), keys.count(k) > 1) for k in set(keys)}
+    got = {(r.text, r.place): (r.before, r.marks_before, r.tied) for r in counted.collect()}
+    assert got == {r[:2]: before[r[2:4]] for r in rows}
+    ranges = spark.read.parquet(*set(counted.inputFiles())).groupBy("part").count()
+    assert ranges.agg(F.max("count")).first()[0] < len(rows) / 2
+
+
+def test_contexts_of_equal_rank_and_core_are_dealt_out(spark):
+    rows = [(a, 0, a, 0, 9, 5, 1, [1, 2]) for a in range(4000)]
+    contexts = spark.createDataFrame(rows, "around long, rank long, text long, first long, last long, core long, own int, prefixes array<int>")
+    met = suffix_dedup._meeting(contexts).collect()
+    assert sorted(r.around for r in met) == list(range(4000)) and all(r.sure for r in met if r.core != 5)
+    assert sum(r.core == 5 for r in met) < 400
+
+
 def test_whole_table_with_awkward_rows(spark):
     rng = random.Random(8)
     text = lambda n: " ".join(f"w{rng.randrange(4000)}" for _ in range(n))
